@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import boilerplate, scanrepair, termfreq, unicode_form
+from folioflow.llm import boilerplate, mcl, names, scanrepair, termfreq, unicode_form
 from folioflow.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,14 @@ def p1_forms(spark: SparkSession, d: str) -> DataFrame:
     return unicode_form.forms(table(spark, d, "papers"), table(spark, d, "page_content"))
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return mcl.groups(table(spark, d, "stored_vectors")).where("size > 1").select("embedding_id", "first_embedding_id")
+
+
+def p2_clusters(spark: SparkSession, d: str) -> DataFrame:
+    return mcl.described(table(spark, d, "stored_vectors"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return termfreq.marked_terms(table(spark, d, "results"))
 
@@ -44,7 +52,15 @@ def p6_pages(spark: SparkSession, d: str) -> DataFrame:
     return boilerplate.strip_pages(table(spark, d, "page_content"), table(spark, d, "papers"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_forms, p3_found, p3_terms, p4_found, p4_pages, p6_found, p6_pages)}
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.variant_pairs(table(spark, d, "papers"), table(spark, d, "name_forms"))
+
+
+def p7_entities(spark: SparkSession, d: str) -> DataFrame:
+    return names.entities(table(spark, d, "papers"), table(spark, d, "name_forms"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_clusters, p3_found, p3_terms, p4_found, p4_pages, p6_found, p6_pages, p7_found, p7_entities)}
 
 _TERMS = r"""
 WITH good AS (SELECT paper_id, response FROM results WHERE status = 'success' AND paper_id IS NOT NULL),
