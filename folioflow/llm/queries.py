@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import boilerplate, mcl, names, scanrepair, termfreq, unicode_form
-from folioflow.session import table
+from folioflow.llm import boilerplate, mcl, mixing, names, packing, scanrepair, termfreq, tokens, unicode_form
+from folioflow.session import cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,7 +60,25 @@ def p7_entities(spark: SparkSession, d: str) -> DataFrame:
     return names.entities(table(spark, d, "papers"), table(spark, d, "name_forms"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_clusters, p3_found, p3_terms, p4_found, p4_pages, p6_found, p6_pages, p7_found, p7_entities)}
+def p8_packed(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(tokens.token_counts(table(spark, d, "documents"), ["doc_id"]))
+
+
+def p8_containers(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fill(p8_packed(spark, d))
+
+
+def p9_mixed(spark: SparkSession, d: str) -> DataFrame:
+    counted = tokens.token_counts(table(spark, d, "documents"), ["doc_id", "source"])
+    return mixing.repeated(mixing.mixed(counted, table(spark, d, "mix_targets")))
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    counted, targets = cut(tokens.token_counts(table(spark, d, "documents"), ["doc_id", "source"])), table(spark, d, "mix_targets")
+    return mixing.shares(mixing.mixed(counted, targets), counted, targets)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_clusters, p3_found, p3_terms, p4_found, p4_pages, p6_found, p6_pages, p7_found, p7_entities, p8_packed, p8_containers, p9_mixed, p9_shares)}
 
 _TERMS = r"""
 WITH good AS (SELECT paper_id, response FROM results WHERE status = 'success' AND paper_id IS NOT NULL),
