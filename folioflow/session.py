@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import pathlib
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,5 +57,40 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def rewrite(df: DataFrame, old: str | None = None) -> tuple[DataFrame, str]:
+    """Write ``df`` to a table in the shared folder, delete the table ``old``, and read the new one.
+
+    For loops that build each round on the last one: unlike a checkpoint, which keeps the size that
+    was estimated for its plan, a table has its real size, so estimates do not multiply from round
+    to round.
+    """
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), f"folioflow-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    if old:
+        remove(spark, old)
+    return spark.read.parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the Python workers of every executor, once a session."""
+    sc = spark.sparkContext
+    if getattr(sc, "_folioflow_shipped", False):
+        return
+    here = pathlib.Path(__file__).resolve().parent
+    packed = os.path.join(tempfile.mkdtemp(prefix="folioflow-package-"), "folioflow.zip")
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(here.rglob("*.py")):
+            z.write(p, p.relative_to(here.parent))
+    sc.addPyFile(packed)  # served by the driver to all executors
+    sc._folioflow_shipped = True
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
