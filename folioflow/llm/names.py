@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.llm.unicode_form import canonical
-from folioflow.session import cut
+from folioflow.session import cut, remove, rewrite
 
 #: Slips per word, the shortest word that may have one, and the trie words of a shard before it is split.
 DISTANCE, SHORTEST, SHARD = 1, 5, 5000
@@ -194,12 +194,14 @@ def _spelled_out(words: DataFrame, known: DataFrame) -> DataFrame:
 
 def _fixed_point(pointers: DataFrame) -> DataFrame:
     """(bag, to) where ``to`` always has more support: follow to the end, doubling the step."""
-    p = cut(pointers)
+    p, at = rewrite(pointers)
     while True:
-        onward = p.join(p.select(F.col("bag").alias("to"), F.col("to").alias("beyond")), "to")
+        onward = p.join(p.select(F.col("bag").alias("to"), F.col("to").alias("beyond")), "to").select("bag", "beyond")
         if onward.isEmpty():
-            return p
-        p = cut(p.join(onward.select("bag", "beyond"), "bag", "left").select("bag", F.coalesce("beyond", "to").alias("to")))
+            done = cut(p)
+            remove(p.sparkSession, at)
+            return done
+        p, at = rewrite(p.join(onward, "bag", "left").select("bag", F.coalesce("beyond", "to").alias("to")), at)
 
 
 def entities(papers: DataFrame, name_forms: DataFrame) -> DataFrame:
