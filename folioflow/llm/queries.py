@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import boilerplate, mcl, mixing, names, packing, scanrepair, termfreq, tokens, unicode_form
+from folioflow.llm import abuse, boilerplate, mcl, mixing, names, packing, scanrepair, termfreq, tokens, unicode_form
 from folioflow.session import cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,7 +78,19 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(mixing.mixed(counted, targets), counted, targets)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_clusters, p3_found, p3_terms, p4_found, p4_pages, p6_found, p6_pages, p7_found, p7_entities, p8_packed, p8_containers, p9_mixed, p9_shares)}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return p10_scores(spark, d).where("abusive").select("doc_id").distinct()
+
+
+def p10_scores(spark: SparkSession, d: str) -> DataFrame:
+    return abuse.scores(table(spark, d, "documents"), table(spark, d, "doc_labels"))
+
+
+def p10_rates(spark: SparkSession, d: str) -> DataFrame:
+    return abuse.rates(p10_scores(spark, d))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_clusters, p3_found, p3_terms, p4_found, p4_pages, p6_found, p6_pages, p7_found, p7_entities, p8_packed, p8_containers, p9_mixed, p9_shares, p10_found, p10_scores, p10_rates)}
 
 _TERMS = r"""
 WITH good AS (SELECT paper_id, response FROM results WHERE status = 'success' AND paper_id IS NOT NULL),
