@@ -41,7 +41,7 @@ _STRIP = lambda x: rf"regexp_replace({x}, '^[{S}]+|[{S}]+$', '', 'g')"
 _LINES = lambda x: f"CASE WHEN coalesce({x}, '') = '' THEN [] WHEN ends_with({x}, chr(10)) THEN list_slice(string_split({x}, chr(10)), 1, -2) ELSE string_split({x}, chr(10)) END"
 _EDGES = lambda ls: f"(SELECT list_sort(list_distinct(list_concat(f[1:3], f[-3:]))) FROM (SELECT list_filter(range(len({ls})), lambda i: {_STRIP(f'{ls}[i + 1]')} <> '') AS f))"
 # RE2 looks neither ahead nor behind, so neighbouring numbers take two passes.
-_MASK = lambda x: rf"regexp_replace({x}, '(^|[^\p{{L}}\p{{N}}_])[0-9]+($|[^\p{{L}}\p{{N}}_])', '\1<number>\2', 'g')"
+_MASK = lambda x: rf"regexp_replace({x}, '(^|[^\p{{L}}\p{{N}}_])\p{{Nd}}+($|[^\p{{L}}\p{{N}}_])', '\1<number>\2', 'g')"
 _KEY = lambda x: rf"(SELECT CASE WHEN n = '' OR length(n) > 120 OR contains(n, 'http://') OR contains(n, 'https://') THEN NULL ELSE {_MASK(_MASK('n'))} END FROM (SELECT lower({_STRIP(rf'''regexp_replace({x}, '[{S}]+', ' ', 'g')''')}) AS n))"
 _LIGATURES = lambda x: f"replace(replace(replace(replace(replace({x}, 'ﬁ', 'fi'), 'ﬂ', 'fl'), 'ﬀ', 'ff'), 'ﬃ', 'ffi'), 'ﬄ', 'ffl')"
 _JOINED = lambda x: rf"regexp_replace({x}, '(^|[^\p{{L}}\p{{N}}_])([A-Za-z]{{3,}})-\n([a-z]{{2,5}})($|[^\p{{L}}\p{{N}}_])', '\1\2\3\4', 'g')"

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.operators import incremental
-from folioflow.plans import page_queries
+from folioflow.plans import page_queries, stage_queries
 from folioflow.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,9 +21,9 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return unit.unionByName(jobs.select(F.lit("job").alias("kind"), F.col("paper_id").alias("key_id"))).distinct()
 
 
-QUERIES: dict[str, Query] = {p5_found.__name__: p5_found} | page_queries.QUERIES
+QUERIES: dict[str, Query] = {p5_found.__name__: p5_found} | page_queries.QUERIES | stage_queries.QUERIES
 
-ORACLE = page_queries.ORACLE | {
+ORACLE = page_queries.ORACLE | stage_queries.ORACLE | {
     "p5_found": """
 WITH cur AS (SELECT embedding_id, arg_max(text_hash, struct_pack(b := built_at, a := arrived_at, h := text_hash)) AS h FROM embedding_units GROUP BY 1),
 stored AS (
