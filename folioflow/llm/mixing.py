@@ -49,7 +49,7 @@ def mixed(counted: DataFrame, mix_targets: DataFrame, total: int | None = None,
     rows = cut(counted.where("tokens > 0").join(F.broadcast(names), "source").select("doc_id", "source", "tokens"))  # a row per target
     available = {r.source: r.n for r in rows.groupBy("source").agg(F.sum("tokens").alias("n")).collect()}
     budget = budgets(available, targets, total)
-    plan = [(s, int(b // available[s]), b - available[s] * (b // available[s])) for s, b in budget.items()]
+    plan = [(s, int(b // available[s]), float(b - available[s] * (b // available[s]))) for s, b in budget.items()]
     cuts = spark.createDataFrame(plan, "source string, epochs int, rest double")
     keyed = rows.withColumn("key", F.xxhash64(F.lit(seed), F.col("doc_id")))
     summed = prefix_sums(keyed, ["key", "doc_id"], "tokens", "before", group="source")
