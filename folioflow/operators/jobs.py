@@ -6,13 +6,17 @@ import json
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.functions.contract import reply_error
 from folioflow.functions.text import natural_key
 from folioflow.operators.sequence import dense_sequence
+from folioflow.session import cut
 
 # Fixed values.
 CONTEXT_FILES = ("llm_context.txt", "llm_context.py")
@@ -101,21 +105,67 @@ def classify_error(status: Column, error_type: Column, message: Column) -> Colum
 def aimd(outcomes: DataFrame, run: str, order: str, initial: int = 8, least: int = 2, most: int = 24, window: int = 8, factor: float = 0.7) -> DataFrame:
     """The concurrency after every outcome of a run: (run, order, current).
 
-    ``outcomes`` has ``throttles`` and ``success``. A fold over the ordered outcomes of one run; runs
-    are independent, so they are folded side by side.
+    ``outcomes`` has ``throttles`` and ``success``. The controller has few states (concurrency times
+    successes in a row), so the outcomes of a run in one partition of the sort are a mapping of all
+    states to states. Each partition reports the mapping of the run that it ends with, the mappings
+    are chained on the driver (one a partition), and every partition replays its rows from the state
+    that reaches it. A run may hold most of the rows. Null throttles count as none, null success as failure.
     """
-    state = F.struct(F.lit(initial).cast("int").alias("current"), F.lit(0).cast("int").alias("clean"), F.array().cast("array<int>").alias("trace"))
-
-    def step(s: Column, o: Column) -> Column:
-        clean = s.clean + 1
-        full = clean >= window
-        current = F.when(o.throttles > 0, F.greatest(F.lit(least), F.floor(F.greatest(F.lit(float(least)), s.current * F.lit(factor))).cast("int"))).when(o.success & full, F.least(F.lit(most), s.current + 1)).otherwise(s.current).cast("int")
-        now = F.when((o.throttles > 0) | ~o.success | full, 0).otherwise(clean).cast("int")
-        return F.struct(current.alias("current"), now.alias("clean"), F.concat(s.trace, F.array(current)).alias("trace"))
-
-    folded = outcomes.groupBy(run).agg(F.array_sort(F.collect_list(F.struct(order, "throttles", "success"))).alias("o"))
-    traced = folded.select(run, F.transform("o", lambda x: x[order]).alias("at"), F.aggregate("o", state, step, lambda s: s.trace).alias("trace"))
-    return traced.select(run, F.explode(F.arrays_zip("at", "trace")).alias("z")).select(run, F.col("z.at").alias(order), F.col("z.trace").alias("current"))
+    floor = least
+    states = [(c, k) for c in range(min(least, initial), max(most, initial) + 1) for k in range(window)]
+    number = {s: i for i, s in enumerate(states)}
+
+    def step(current, clean, ok: bool, slow: bool):
+        if slow:
+            return np.maximum(floor, np.floor(np.maximum(floor, current * factor))).astype(np.int64), clean * 0
+        if not ok:
+            return current, clean * 0
+        full = clean + 1 >= window
+        return np.where(full, np.minimum(most, current + 1), current), np.where(full, 0, clean + 1)
+
+    rows = outcomes.select(F.col(run).alias("run"), F.col(order).alias("at"), F.coalesce("success", F.lit(False)).alias("ok"), (F.coalesce("throttles", F.lit(0)) > 0).alias("slow")).where("run is not null")
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(b.num_rows, part, dtype=np.int32))], names=[*b.schema.names, "part"])
+
+    kinds = f"run {rows.schema['run'].dataType.simpleString()}, at {rows.schema['at'].dataType.simpleString()}"
+    ranged = cut(rows.repartitionByRange("run", "at").sortWithinPartitions("run", "at").mapInArrow(numbered, f"{kinds}, ok boolean, slow boolean, part int"))
+
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = last = part = None
+        for b in batches:
+            for r, ok, slow, p in zip(*(b.column(i).to_pylist() for i in (0, 2, 3, 4))):
+                if part is None or r != last:
+                    first, last, part = r if part is None else first, r, p
+                    current, clean = (np.array(x) for x in zip(*states))
+                current, clean = step(current, clean, ok, slow)
+        if part is not None:
+            ends = [[number[int(c), int(k)] for c, k in zip(current, clean)]]
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([first], b.column(0).type), pa.array([last], b.column(0).type), pa.array(ends, pa.list_(pa.int32()))], names=["part", "first", "last", "ends"])
+
+    kind = rows.schema["run"].dataType.simpleString()
+    begin, state, running = {}, number[initial, 0], None
+    for p in sorted(ranged.mapInArrow(chunks, f"part int, first {kind}, last {kind}, ends array<int>").collect(), key=lambda p: p.part):
+        if p.first == running:
+            begin[p.part] = state
+        state = p.ends[state if p.first == p.last == running else number[initial, 0]]
+        running = p.last
+
+    def replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, current, clean, begun = None, initial, 0, False
+        for b in batches:
+            out = []
+            for r, ok, slow, p in zip(*(b.column(i).to_pylist() for i in (0, 2, 3, 4))):
+                if not begun or r != now:
+                    current, clean = states[begin[p]] if not begun and p in begin else (initial, 0)
+                    now, begun = r, True
+                current, clean = (int(x) for x in step(np.int64(current), np.int64(clean), ok, slow))
+                out.append(current)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.int32())], names=["run", "at", "current"])
+
+    return ranged.mapInArrow(replay, f"{kinds}, current int").select(F.col("run").alias(run), F.col("at").alias(order), "current")
 
 
 OUTCOME = "paper_id string, position int, status string, response string, error_type string, error string, retryable_at_failure boolean, client_calls int, contract_retries_used int"

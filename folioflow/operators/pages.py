@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.functions import tables, text
+from folioflow.operators.sequence import carry_forward
 from folioflow.thresholds import DEFAULT, Thresholds
 
 KEY = ["paper_id", "page_number"]
@@ -34,11 +35,15 @@ def repeated_noise(pages: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
 
 
 def sections(pages: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
-    """Set ``section``: the first heading on the page, else the last one on an earlier page of the paper."""
+    """Set ``section``: the first heading on the page, else the last one on an earlier page of the paper.
+
+    Only headings are sorted, not texts, and a paper may span partitions of the sort.
+    """
     found = F.transform(F.filter(text.lines(F.coalesce("clean_text", F.lit(""))), lambda x: text.is_heading(x, t)), text.strip)
-    w = Window.partitionBy("paper_id").orderBy("page_number").rowsBetween(Window.unboundedPreceding, -1)
-    headed = pages.withColumn("__h", found).withColumn("__last", F.try_element_at("__h", F.lit(-1)))
-    return headed.withColumn("section", F.coalesce(F.try_element_at("__h", F.lit(1)), F.last("__last", ignorenulls=True).over(w))).drop("__h", "__last")
+    ends = pages.select(*KEY, found.alias("h")).select(*KEY, F.try_element_at("h", F.lit(1)).alias("__first"), F.try_element_at("h", F.lit(-1)).alias("__last"))
+    carried = carry_forward(ends, "paper_id", "page_number", "__last", "__before")
+    labelled = carried.select(*KEY, F.coalesce("__first", "__before").alias("section"))
+    return pages.drop("section").join(labelled, KEY, "left")
 
 
 def ocr_fallback(pages: DataFrame, ocr: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:

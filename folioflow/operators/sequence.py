@@ -10,7 +10,6 @@ a single task.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -84,5 +83,35 @@ def dense_sequence(df: DataFrame, order: list[str], out: str = "seq") -> DataFra
     return prefix_sums(df.withColumn(one, F.lit(1).cast("long")), order, one, out).drop(one)
 
 
-def union_all(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+def carry_forward(df: DataFrame, group: str, order: str, value: str, out: str) -> DataFrame:
+    """Add ``out``: the last ``value`` that is not null in an earlier row of the group.
+
+    A group may span any number of partitions of the sort: each partition carries values along its
+    own rows, and what it hands on to the next one is a single row a partition.
+    """
+    schema = T.StructType([*df.schema.fields, T.StructField(out, df.schema[value].dataType), T.StructField(_PART, T.IntegerType())])
+    at_group, at_value = df.columns.index(group), df.columns.index(value)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, now, last = TaskContext.get().partitionId(), object(), None
+        for b in batches:
+            before = []
+            for g, v in zip(b.column(at_group).to_pylist(), b.column(at_value).to_pylist()):
+                if g != now:
+                    now, last = g, None
+                before.append(last)
+                last = last if v is None else v
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(before, b.column(at_value).type), pa.array([part] * len(before), pa.int32())], names=schema.names)
+
+    ranged = cut(df.where(F.col(group).isNotNull()).repartitionByRange(group, order).sortWithinPartitions(group, order).mapInArrow(scan, schema))
+    ends = ranged.groupBy(_PART).agg(F.min(group).alias("first"), F.max(group).alias("final"))
+    tails = ranged.join(F.broadcast(ends), _PART).where((F.col(group) == F.col("final")) & F.col(value).isNotNull()).groupBy(_PART).agg(F.max_by(value, order).alias("tail"))
+    handed, carried = {}, []
+    for r in sorted(ends.join(tails, _PART, "left").collect(), key=lambda r: r[_PART]):  # a row per partition
+        carried.append((r[_PART], r.first, handed.get(r.first)))
+        handed = {r.final: r.tail if r.tail is not None else handed.get(r.final) if r.first == r.final else None}
+    add = ranged.sparkSession.createDataFrame([c for c in carried if c[2] is not None], T.StructType([T.StructField(_PART, T.IntegerType()), T.StructField("__first", df.schema[group].dataType), T.StructField("__carried", df.schema[value].dataType)]))
+    joined = ranged.join(F.broadcast(add), (ranged[_PART] == add[_PART]) & (ranged[group] == add["__first"]), "left")
+    return joined.select(*[ranged[c] for c in df.columns], F.coalesce(ranged[out], add["__carried"]).alias(out))

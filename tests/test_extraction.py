@@ -71,7 +71,7 @@ def test_errors_are_classified(spark):
 
 def test_concurrency_against_a_loop(spark):
     rng = random.Random(4)
-    rows = [(run, n, rng.random() < 0.9, int(rng.random() < 0.05)) for run in range(5) for n in range(200)]
+    rows = [(run, n, rng.random() < 0.9, int(rng.random() < 0.05)) for run in range(5) for n in range(1500 if run == 2 else 200)]
     got = {(r.run, r.n): r.current for r in J.aimd(spark.createDataFrame(rows, "run int, n int, success boolean, throttles int"), "run", "n").collect()}
     for run in range(5):
         cur, clean = 8, 0

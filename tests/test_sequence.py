@@ -1,6 +1,6 @@
 import random
 
-from folioflow.operators.sequence import dense_sequence, prefix_sums
+from folioflow.operators.sequence import carry_forward, dense_sequence, prefix_sums
 
 
 def test_prefix_sums_against_a_loop(spark):
@@ -25,3 +25,18 @@ def test_dense_sequence_counts_every_row_once(spark):
 def test_empty_table(spark):
     assert dense_sequence(spark.createDataFrame([], "x int"), ["x"]).collect() == []
     assert prefix_sums(spark.createDataFrame([], "x int, g string"), ["x"], "x", "s", group="g").collect() == []
+
+
+def test_carry_forward_against_a_loop(spark):
+    rng = random.Random(6)
+    groups = ["hot"] * 400 + ["a", "b", "c"] * 20
+    rows = [(g, i, rng.choice([None, None, None, f"v{i}"]) if g != "b" else None) for i, g in enumerate(groups)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame([*rows, (None, 1, "x")], "g string, k int, v string").repartition(9)
+    got = {(r.g, r.k): r.before for r in carry_forward(df, "g", "k", "v", "before").collect()}
+    last: dict = {}
+    for g, k, v in sorted(rows, key=lambda r: r[1]):
+        assert got[g, k] == last.get(g)
+        last[g] = last.get(g) if v is None else v
+    assert len(got) == len(rows)
+    assert carry_forward(df.limit(0), "g", "k", "v", "before").count() == 0
