@@ -241,9 +241,11 @@ class Noise:
         short = (F.length("core") >= 4) & F.exists(F.coalesce("titles", F.array().cast("array<string>")), lambda t: F.startswith(t, F.col("core")))
         author = F.col("core").rlike(r"^\p{L}{2,40}ctal$") & F.col("a").rlike(r"(?i)^(\S+ ){1,4}\S+$") & F.col("a").rlike(r"(?i) [ec]t a[l1!i]\.?$")
         masked = F.regexp_replace("core", "[0-9]+", "#")
-        w = Window.partitionBy("paper_id", "masked")
-        moving = (F.size(F.collect_set("page_number").over(w)) >= 2) & (F.size(F.collect_set("b").over(w)) >= 2) & (F.col("b") != "") & (F.col("c") == "0")
-        return known.withColumn("masked", masked).withColumn("moving", moving).where(short | author | F.col("moving")).select("paper_id", "page_number", "line_no").distinct()
+        # A line that recurs at the page tops of its paper, each time beside another number.
+        recurs = tops.where("b <> '' and c = '0'").groupBy("paper_id", masked.alias("masked")).agg(F.count_distinct("page_number").alias("pages"), F.count_distinct("b").alias("numbers")).where("pages >= 2 and numbers >= 2")
+        beside = known.withColumn("masked", masked).join(recurs.select("paper_id", "masked", F.lit(True).alias("moving")), ["paper_id", "masked"], "left")
+        moving = F.coalesce("moving", F.lit(False)) & (F.col("b") != "") & (F.col("c") == "0")
+        return beside.where(short | author | moving).select("paper_id", "page_number", "line_no").distinct()
 
     def misread_words(self) -> DataFrame:
         """(paper_id, page_number, line_no, word, right) in running text."""
