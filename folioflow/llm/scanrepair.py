@@ -230,8 +230,11 @@ class Noise:
         n = self.rows.where("kind in ('en', 'rn')").withColumn("offset", F.col("a").cast("long") - F.col("page_number"))
         support = n.groupBy("paper_id", "offset").agg(F.count_distinct("page_number").alias("pages"))
         usual = support.groupBy("paper_id").agg(F.max(F.struct("pages", (-F.abs("offset")).alias("near"), "offset")).alias("u"))
-        known = n.where("kind = 'en'").join(usual, "paper_id")
-        fits = (F.col("offset") == F.col("u.offset")) & ((F.col("u.pages") >= 2) | (F.col("b") == "marked") | (F.col("c") == "edge") & ((F.col("b") == "roman") | (F.col("offset") == 0)))
+        length = self.pages.groupBy("paper_id").agg(F.count_distinct("page_number").alias("of"))
+        known = n.where("kind = 'en'").join(usual, "paper_id").join(length, "paper_id")
+        # A bare number inside the page may be a table's: then half of the pages must agree.
+        agreed = (F.col("u.pages") >= 2) & ((F.col("c") == "edge") | (F.col("b") != "") | (2 * F.col("u.pages") >= F.col("of")))
+        fits = (F.col("offset") == F.col("u.offset")) & (agreed | (F.col("b") == "marked") | (F.col("c") == "edge") & ((F.col("b") == "roman") | (F.col("offset") == 0)))
         return known.where(fits | ((F.col("b") == "marked") & (F.col("u.pages") < 2))).select("paper_id", "page_number", "line_no").distinct()
 
     def headers(self) -> DataFrame:
