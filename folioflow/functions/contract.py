@@ -7,7 +7,6 @@ Arrow UDF over the standard library; only replies that pass are read with a fixe
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
@@ -19,6 +18,25 @@ from pyspark.sql import types as T
 FIELDS = ("problem_gap", "claimed_contribution", "technical_approach", "datasets_benchmarks", "contribution_type", "evaluation_summary", "reproducibility", "limitations_failures")
 ITEM_KEYS, SPAN_KEYS, MAX_SPANS = {"value", "source_span", "confidence"}, {"page", "text"}, 3
 
+# What is said about each breach of the contract.
+SAYS = {
+    "json": "response is not valid JSON: {}",
+    "top": "top-level response must be a JSON object",
+    "fields": "top-level fields mismatch; missing={}, extra={}",
+    "object": "{} must be an object",
+    "keys": "{} keys must be exactly {}; got {}",
+    "value": "{}.value must be null or a non-empty string",
+    "list": "{}.source_span must be a list",
+    "many": "{}.source_span may contain at most 3 spans",
+    "numeric": "{}.confidence must be numeric",
+    "between": "{}.confidence must be between 0.0 and 1.0",
+    "null spans": "{}: null value requires empty source_span",
+    "null confidence": "{}: null value requires confidence 0.0",
+    "span keys": "{}.source_span[{}] must contain exactly page and text",
+    "span page": "{}.source_span[{}].page must be an integer or null",
+    "span text": "{}.source_span[{}].text must be a non-empty string",
+}
+
 SPAN = T.StructType([T.StructField("page", T.LongType()), T.StructField("text", T.StringType())])
 ITEM = T.StructType([T.StructField("value", T.StringType()), T.StructField("source_span", T.ArrayType(SPAN)), T.StructField("confidence", T.DoubleType())])
 RESPONSE = T.StructType([T.StructField(f, ITEM) for f in FIELDS])
@@ -28,48 +46,48 @@ def _number(x: Any) -> bool:
     return isinstance(x, (int, float)) and not isinstance(x, bool)
 
 
-def _text(x: Any) -> bool:
-    return isinstance(x, str) and bool(x)
-
-
-def violations(payload: Any) -> Iterator[str]:
-    """Breaches of the contract in the order in which they are reported; only the first is sure to be sound."""
+def _item(item: Any) -> str | None:
+    """The key of the first breach in one field's object."""
+    value, spans, sure = item["value"], item["source_span"], item["confidence"]
+    holds = {
+        "value": lambda: value is None or isinstance(value, str) and value.strip(),
+        "list": lambda: isinstance(spans, list),
+        "many": lambda: len(spans) <= MAX_SPANS,
+        "numeric": lambda: _number(sure),
+        "between": lambda: 0 <= sure <= 1,
+        "null spans": lambda: value is not None or not spans,
+        "null confidence": lambda: value is not None or sure == 0,
+    }
+    return next((k for k, test in holds.items() if not test()), None)
+
+
+def _span(span: Any) -> str | None:
+    holds = {
+        "span keys": lambda: isinstance(span, dict) and span.keys() == SPAN_KEYS,
+        "span page": lambda: span["page"] is None or isinstance(span["page"], int) and not isinstance(span["page"], bool),
+        "span text": lambda: isinstance(span["text"], str) and span["text"],
+    }
+    return next((k for k, test in holds.items() if not test()), None)
+
+
+def violation(payload: Any) -> str | None:
+    """The first breach of the contract in its fixed order, as a message."""
     if not isinstance(payload, dict):
-        yield "top-level response must be a JSON object"
-        return
+        return SAYS["top"]
     if payload.keys() ^ set(FIELDS):
-        yield f"top-level fields mismatch; missing={sorted(set(FIELDS) - payload.keys())}, extra={sorted(payload.keys() - set(FIELDS))}"
-        return
+        return SAYS["fields"].format(sorted(set(FIELDS) - payload.keys()), sorted(payload.keys() - set(FIELDS)))
     for name in FIELDS:
         item = payload[name]
         if not isinstance(item, dict):
-            yield f"{name} must be an object"
-            return
+            return SAYS["object"].format(name)
         if item.keys() != ITEM_KEYS:
-            yield f"{name} keys must be exactly {sorted(ITEM_KEYS)}; got {sorted(item)}"
-            return
-        value, spans, sure = item["value"], item["source_span"], item["confidence"]
-        checks = (
-            (value is None or isinstance(value, str) and value.strip(), ".value must be null or a non-empty string"),
-            (isinstance(spans, list), ".source_span must be a list"),
-            (isinstance(spans, list) and len(spans) <= MAX_SPANS, f".source_span may contain at most {MAX_SPANS} spans"),
-            (_number(sure), ".confidence must be numeric"),
-            (_number(sure) and 0 <= sure <= 1, ".confidence must be between 0.0 and 1.0"),
-            (value is not None or not spans, ": null value requires empty source_span"),
-            (value is not None or sure == 0, ": null value requires confidence 0.0"),
-        )
-        for holds, message in checks:
-            if not holds:
-                yield name + message
-                return
-        for i, span in enumerate(spans):
-            where = f"{name}.source_span[{i}]"
-            if not isinstance(span, dict) or span.keys() != SPAN_KEYS:
-                yield f"{where} must contain exactly page and text"
-            elif span["page"] is not None and (isinstance(span["page"], bool) or not isinstance(span["page"], int)):
-                yield f"{where}.page must be an integer or null"
-            elif not _text(span["text"]):
-                yield f"{where}.text must be a non-empty string"
+            return SAYS["keys"].format(name, sorted(ITEM_KEYS), sorted(item))
+        if breach := _item(item):
+            return SAYS[breach].format(name)
+        for i, span in enumerate(item["source_span"]):
+            if breach := _span(span):
+                return SAYS[breach].format(name, i)
+    return None
 
 
 def reply_error(raw: str | None) -> str | None:
@@ -77,8 +95,8 @@ def reply_error(raw: str | None) -> str | None:
     try:
         payload = json.loads(raw or "")
     except ValueError as e:
-        return f"response is not valid JSON: {e}"
-    return next(violations(payload), None)
+        return SAYS["json"].format(e)
+    return violation(payload)
 
 
 @F.pandas_udf(T.StringType())

@@ -6,11 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.functions import tables, text
+from folioflow.functions.text import first_filled
 from folioflow.operators.sequence import carry_forward
 from folioflow.thresholds import DEFAULT, Thresholds
 
 KEY = ["paper_id", "page_number"]
 
+# The headings of a context, its page marks, and the names of metadata.
+METADATA, TEXT, TABLES, ARTIFACTS, VISUALS = "PAPER METADATA", "FULL PAPER TEXT", "TABLES NOT REPRESENTED BY IMAGES", "ARTIFACT LINKS", "VISUAL PAGES"
+PAGE_OPEN, PAGE_CLOSE, VISUAL_LINE, UNKNOWN = "=== PAGE ", " ===", "Page ", "Unknown"
+NAMES = {"paper_id": "Paper ID", "title": "Title", "authors": "Authors", "venue": "Venue", "year": "Year", "pdf_url": "PDF URL"}
+
 
 def one_per_page(pages: DataFrame, *columns: str) -> DataFrame:
     """Pages with the wanted columns, repeated rows once; rows without a key are left out."""
@@ -114,24 +120,25 @@ def contexts(papers: DataFrame, pages: DataFrame, table_rows: DataFrame) -> Data
         parts = F.array_sort(F.collect_list(F.struct(*order, piece.alias("piece"))))
         return df.groupBy("paper_id").agg(F.array_join(F.transform(parts, lambda p: p.piece), sep).alias(out))
 
-    mark = lambda: F.concat(F.lit("=== PAGE "), F.col("page_number").cast("string"))
-    page_text = joined(pages, ["page_number"], F.concat(mark(), F.lit(" ===\n"), F.coalesce("clean_text", F.lit(""))), "\n\n", "__pages")
+    mark = lambda: F.concat(F.lit(PAGE_OPEN), F.col("page_number").cast("string"))
+    page_text = joined(pages, ["page_number"], F.concat(mark(), F.lit(PAGE_CLOSE + "\n"), F.coalesce("clean_text", F.lit(""))), "\n\n", "__pages")
     plain = table_rows.where("not use_visual and text is not null and text <> ''")
-    table_piece = F.concat_ws("\n", F.concat(mark(), F.lit(" / "), F.col("table_id"), F.lit(" ===")), F.nullif(F.col("caption"), F.lit("")), "text")
+    table_piece = F.concat_ws("\n", F.concat(mark(), F.lit(" / "), F.col("table_id"), F.lit(PAGE_CLOSE)), F.nullif(F.col("caption"), F.lit("")), "text")
     table_text = joined(plain, ["page_number", "table_index"], table_piece, "\n\n", "__tables")
     links = pages.withColumn("__links", F.filter("urls", text.is_artifact_url)).where(F.size("__links") > 0)
-    link_text = joined(links, ["page_number"], F.concat(mark(), F.lit(" ===\n"), F.array_join("__links", "\n")), "\n\n", "__artifacts")
+    link_text = joined(links, ["page_number"], F.concat(mark(), F.lit(PAGE_CLOSE + "\n"), F.array_join("__links", "\n")), "\n\n", "__artifacts")
     shown = pages.where("needs_visual and image_path is not null")
-    shown_piece = F.concat(F.lit("Page "), F.col("page_number").cast("string"), F.lit(": "), F.array_join("visual_reason", ", "))
+    shown_piece = F.concat(F.lit(VISUAL_LINE), F.col("page_number").cast("string"), F.lit(": "), F.array_join("visual_reason", ", "))
     visuals = F.array_sort(F.collect_list(F.struct("page_number", shown_piece.alias("piece"), "image_path")))
     shown_text = shown.groupBy("paper_id").agg(visuals.alias("__v")).select("paper_id", F.array_join(F.transform("__v", lambda v: v.piece), "\n").alias("__visual"), F.transform("__v", lambda v: v.image_path).alias("visual_pages"))
-    known = lambda c: F.coalesce(F.nullif(c, F.lit("")), F.lit("Unknown"))
-    meta = F.concat(
-        F.lit("PAPER METADATA\n\nPaper ID: "), F.col("paper_id"), F.lit("\nTitle: "), F.coalesce("title", F.lit("None")), F.lit("\nAuthors: "), known(F.array_join("authors", ", ")),
-        F.lit("\nVenue: "), known(F.col("venue")), F.lit("\nYear: "), F.when(F.coalesce("year", F.lit(0)) == 0, "Unknown").otherwise(F.col("year").cast("string")), F.lit("\nPDF URL: "), F.coalesce("pdf_url", F.lit("None")),
-    )
+    filled = {
+        "paper_id": F.col("paper_id"), "title": F.col("title"), "authors": first_filled(F.array_join("authors", ", "), F.lit(UNKNOWN)), "venue": first_filled(F.col("venue"), F.lit(UNKNOWN)),
+        "year": F.coalesce(F.nullif("year", F.lit(0)).cast("string"), F.lit(UNKNOWN)), "pdf_url": F.col("pdf_url"),
+    }
+    lines = [F.concat(F.lit(f"{NAMES[k]}: "), F.coalesce(v, F.lit("None"))) for k, v in filled.items()]
+    meta = F.concat(F.lit(METADATA + "\n\n"), F.concat_ws("\n", *lines))
     titled = lambda title, c, sep="\n\n": F.when(F.col(c).isNotNull(), F.concat(F.lit(title + sep), F.col(c)))
-    whole = F.concat_ws("\n\n", meta, F.coalesce(titled("FULL PAPER TEXT", "__pages"), F.lit("FULL PAPER TEXT")), titled("TABLES NOT REPRESENTED BY IMAGES", "__tables"), titled("ARTIFACT LINKS", "__artifacts"), titled("VISUAL PAGES", "__visual", "\n"))
+    whole = F.concat_ws("\n\n", meta, F.coalesce(titled(TEXT, "__pages"), F.lit(TEXT)), titled(TABLES, "__tables"), titled(ARTIFACTS, "__artifacts"), titled(VISUALS, "__visual", "\n"))
     out = papers.dropDuplicates(["paper_id"])
     for part in (page_text, table_text, link_text, shown_text):
         out = out.join(part, "paper_id", "left")
