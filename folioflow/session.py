@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
 import os
 import pathlib
 import tempfile
@@ -21,6 +23,7 @@ def local_session(cpus: int | str = "*", **conf: str) -> SparkSession:
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.driver.host": "127.0.0.1",
     } | conf
     spark = SparkSession.builder.master(f"local[{cpus}]").config(map=base).getOrCreate()
@@ -78,16 +81,19 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the package to the Python workers of every executor, once a session."""
+    """Give the package to the Python workers of every executor, once a session, by the shared folder."""
     sc = spark.sparkContext
     if getattr(sc, "_folioflow_shipped", False):
         return
-    here = pathlib.Path(__file__).resolve().parent
-    packed = os.path.join(tempfile.mkdtemp(prefix="folioflow-package-"), "folioflow.zip")
+    here, packed = pathlib.Path(__file__).resolve().parent, io.BytesIO()
     with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
         for p in sorted(here.rglob("*.py")):
-            z.write(p, p.relative_to(here.parent))
-    sc.addPyFile(packed)  # served by the driver to all executors
+            z.writestr(zipfile.ZipInfo(str(p.relative_to(here.parent))), p.read_bytes())
+    at = spark._jvm.org.apache.hadoop.fs.Path(checkpoint_dir(spark), f"folioflow-{hashlib.md5(packed.getvalue()).hexdigest()}.zip")
+    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    stream.write(bytearray(packed.getvalue()))
+    stream.close()
+    sc.addPyFile(at.toString())
     sc._folioflow_shipped = True
 
 
