@@ -8,8 +8,8 @@ Work is done on distinct names only, and within them on distinct words:
 2. A *trie join* finds all pairs of words within one slip (a letter added, lost, changed, or two
    swapped): words are sharded by one of their segments, which a slip cannot all touch, each shard
    is a trie, and every word runs through the tries of its shards as a Levenshtein automaton.
-3. Sets of words that differ in one such pair are one name; the rarer one points to the one with
-   more papers. Middle initials must not contradict; a missing one is filled if only one is known.
+3. Sets of words that differ in one such pair are one name, also over several steps; the set with
+   the most papers stands for it. Middle initials must not contradict; a missing one is filled if only one is known.
 4. A surname with an initial belongs to the only full name that fits; if several fit, to none.
 
 Names are linked by keys, never compared pair by pair; a pair is made only of names already known
@@ -192,16 +192,25 @@ def _spelled_out(words: DataFrame, known: DataFrame) -> DataFrame:
     return pair.mapInPandas(fits, pair.schema).groupBy("short").agg(F.max(F.struct("n", "word")).alias("m")).select("short", F.col("m.word").alias("long"))
 
 
-def _fixed_point(pointers: DataFrame) -> DataFrame:
-    """(bag, to) where ``to`` always has more support: follow to the end, doubling the step."""
-    p, at = rewrite(pointers)
+def _components(edges: DataFrame) -> DataFrame:
+    """Undirected (bag, to), both ways -> (bag, root): the smallest bag that can be reached.
+
+    Spellings of one name lie one or two slips apart, so few rounds are needed; each also follows
+    the label's own label.
+    """
+    labels, at = rewrite(edges.groupBy("bag").agg(F.least(F.min("to"), F.first("bag")).alias("root")))
     while True:
-        onward = p.join(p.select(F.col("bag").alias("to"), F.col("to").alias("beyond")), "to").select("bag", "beyond")
-        if onward.isEmpty():
-            done = cut(p)
-            remove(p.sparkSession, at)
+        near = edges.join(labels.select(F.col("bag").alias("to"), F.col("root").alias("other")), "to").groupBy("bag").agg(F.min("other").alias("other"))
+        jump = labels.select(F.col("bag").alias("root"), F.col("root").alias("beyond"))
+        lower = labels.join(near, "bag").join(jump, "root", "left").select("bag", F.least("root", "other", "beyond").alias("root"))
+        new, now = rewrite(lower)
+        moved = new.join(labels, ["bag", "root"], "left_anti").isEmpty()
+        remove(edges.sparkSession, at)
+        labels, at = new, now
+        if moved:
+            done = cut(labels)
+            remove(edges.sparkSession, at)
             return done
-        p, at = rewrite(p.join(onward, "bag", "left").select("bag", F.coalesce("beyond", "to").alias("to")), at)
 
 
 def entities(papers: DataFrame, name_forms: DataFrame) -> DataFrame:
@@ -243,14 +252,15 @@ def entities(papers: DataFrame, name_forms: DataFrame) -> DataFrame:
     named = cut(org_bags.unionByName(full_names).unionByName(lone).where(F.size("words") > 0).withColumn("bag", bag))
     bags = named.groupBy("bag", "words").agg(F.sum("papers").alias("n"))
     # Bags that agree in all words but one, and there by a slip.
-    open_at = bags.where(F.size("words") > 1).select("bag", "n", F.posexplode("words").alias("at", "word"), "words").where(F.length("word") >= SHORTEST - 1)
-    open_at = cut(open_at.select("bag", "n", "word", F.array_join(F.filter("words", lambda w, i: i != F.col("at")), " ").alias("rest")))
+    open_at = bags.where(F.size("words") > 1).select("bag", F.posexplode("words").alias("at", "word"), "words").where(F.length("word") >= SHORTEST - 1)
+    open_at = cut(open_at.select("bag", "word", F.array_join(F.filter("words", lambda w, i: i != F.col("at")), " ").alias("rest")))
     near = near_words(open_at.select("word")).where((F.length("word") >= SHORTEST) | (F.length("near") >= SHORTEST))
-    other = open_at.select(F.col("bag").alias("to"), F.col("n").alias("to_n"), F.col("word").alias("near"), "rest")
-    slips = open_at.join(near, "word").join(other, ["near", "rest"]).where((F.col("to_n") > F.col("n")) | ((F.col("to_n") == F.col("n")) & (F.col("to") < F.col("bag"))))
-    # A slip is rarer than the name; two names known equally well are two names only if both have middle initials that differ, see below.
-    pointers = _fixed_point(slips.groupBy("bag").agg(F.max(F.struct("to_n", "to")).alias("m")).select("bag", F.col("m.to").alias("to")))
-    rooted = named.join(pointers, "bag", "left").select("name", "papers", F.coalesce("to", "bag").alias("bag"), "middle")
+    other = open_at.select(F.col("bag").alias("to"), F.col("word").alias("near"), "rest")
+    slips = cut(open_at.join(near, "word").join(other, ["near", "rest"]).select("bag", "to").distinct())
+    # Of the bags that slips connect the best known one is the name.
+    linked = cut(_components(slips).join(bags.select("bag", "n"), "bag"))
+    best = linked.groupBy("root").agg(F.max_by("bag", F.struct("n", "bag")).alias("to"))
+    rooted = named.join(linked.join(best, "root").select("bag", "to"), "bag", "left").select("name", "papers", F.coalesce("to", "bag").alias("bag"), "middle")
 
     # Middle initials.
     middles = rooted.where("middle <> ''").select("bag", "middle").distinct().groupBy("bag").agg(F.count("*").alias("kinds"), F.min("middle").alias("only"))

@@ -61,6 +61,12 @@ def test_organisations(spark):
     assert pairs(spark, [*one[:1] * 3, *one, *other]) == {frozenset((a, b)) for a in one for b in one if a != b}
 
 
+def test_slips_of_a_name_that_is_rarer_than_they_are(spark):
+    """Two slips and the name between them, the name being the rarest."""
+    names = ["Bevekofath Kamadapir"] + ["Beekofath Kamadapir"] * 4 + ["Bevekofath Kamaadapir"] * 3
+    assert len(pairs(spark, names)) == 3
+
+
 def test_bad_rows(spark):
     papers = spark.createDataFrame([H.paper("a", authors=None), H.paper("b", authors=[]), H.paper("c", authors=[None, "", "  ", "*", "1", "B.", "Prof."]), H.paper(None, authors=["Anna Kamadapir"]), H.paper("d", authors=["x" * 20_000 + " y" * 500])], H.PAPERS)
     forms = spark.createDataFrame([(None, "x"), ("y", None)], H.FORMS)
