@@ -301,39 +301,45 @@ def repaired_pages(pages: DataFrame, papers: DataFrame) -> DataFrame:
     sentence well short of the page's width end a paragraph. Windows run over one page.
     """
     noise = Noise(pages, papers)
-    key = ["paper_id", "page_number", "line_no"]
-    noisy = cut(noise.lines())
-    dropped = noisy.where("kind in ('running_header', 'page_number')").select(*key, F.lit(True).alias("drop"))
-    joins = noise.broken_words().groupBy(*key).agg(F.first("left").alias("left"))
-    words = noise.misread_words().groupBy(*key).agg(F.map_from_entries(F.collect_set(F.struct("word", "right"))).alias("fix"))
-    one = noise.pages.dropDuplicates(["paper_id", "page_number"])
-    lines = one.select("paper_id", "page_number", F.posexplode(F.split(F.coalesce("clean_text", F.lit("")), "\n", -1)).alias("at", "line")).withColumn("line_no", F.col("at") + 1).drop("at")
-    full = lines.join(dropped, key, "left").join(joins, key, "left").join(words, key, "left")
-    w = Window.partitionBy("paper_id", "page_number").orderBy("line_no")
-    kept = full.where("drop is null").withColumn("line", _fixed(F.trim("line"), F.col("fix"))).withColumn("width", F.max(F.length("line")).over(Window.partitionBy("paper_id", "page_number")))
-    before = F.lag("line").over(w)
-    heading = F.col("line").rlike(r"^(?:[0-9]+(?:\.[0-9]+)*\s+\p{Lu}|Abstract$|References$|Discussion$)") & (F.length("line") < 60)
-    starts = before.isNull() | (F.col("line") == "") | (before == "") | heading | F.lag(heading, 1, False).over(w) | (before.rlike(r"[.!?]$") & (F.length(before) < 0.6 * F.col("width")))
-    para = F.sum(F.when(F.col("starts"), 1).otherwise(0)).over(w)
-    numbered = kept.withColumn("starts", starts).withColumn("para", para).where("line <> ''")
-    piece = F.when(F.col("left").isNotNull(), F.regexp_replace("line", rf"[{_MARKS}]\s*$", "\u0001")).otherwise(F.concat("line", F.lit(" ")))
-    paragraphs = numbered.groupBy("paper_id", "page_number", "para").agg(F.array_sort(F.collect_list(F.struct("line_no", piece.alias("piece")))).alias("parts"))
-    text = F.trim(F.regexp_replace(F.array_join(F.col("parts.piece"), ""), "\u0001", ""))
-    whole = paragraphs.select("paper_id", "page_number", "para", text.alias("text")).groupBy("paper_id", "page_number").agg(F.array_sort(F.collect_list(F.struct("para", "text"))).alias("p"))
-    n = dropped.groupBy("paper_id", "page_number").agg(F.count("*").alias("lines_dropped"))
-    base = one.select("paper_id", "page_number", "clean_text").join(whole, ["paper_id", "page_number"], "left").join(n, ["paper_id", "page_number"], "left")
-    return base.select("paper_id", "page_number", F.when(F.col("clean_text").isNotNull(), F.coalesce(F.array_join(F.col("p.text"), "\n\n"), F.lit(""))).alias("text"), F.coalesce("lines_dropped", F.lit(0)).cast("long").alias("lines_dropped"))
-
-
-def _fixed(line: Column, fix: Column) -> Column:
-    @F.pandas_udf(T.StringType())
-    def apply(lines: pd.Series, fixes: pd.Series) -> pd.Series:
-        def one(line, pairs):
-            if not pairs:
-                return line
-            right = dict(pairs)
+    page = ["paper_id", "page_number"]
+    dropped = noise.lines().where("kind in ('running_header', 'page_number')").groupBy(*page).agg(F.collect_set("line_no").alias("dropped"))
+    broken = noise.broken_words().groupBy(*page).agg(F.collect_set("line_no").alias("broken"))
+    fixes = noise.misread_words().groupBy(*page).agg(F.collect_set(F.struct("line_no", "word", "right")).alias("fixes"))
+    # One shuffle of the texts, by page; all windows and the aggregation below use its partitions.
+    one = noise.pages.select(*page, "clean_text").dropDuplicates(page).join(dropped, page, "left").join(broken, page, "left").join(fixes, page, "left")
+    none = F.array().cast("array<int>")
+    text = _fixed(F.coalesce("clean_text", F.lit("")), F.col("fixes"))
+    lines = one.select(*page, F.col("clean_text").isNull().alias("null"), F.coalesce("dropped", none).alias("dropped"), F.coalesce("broken", none).alias("broken"), F.posexplode(F.split(text, "\n", -1)).alias("at", "line"))
+    marked = lines.withColumn("line", F.trim("line")).withColumn("cut", F.array_contains("broken", F.col("at") + 1)).withColumn("drop", F.array_contains("dropped", F.col("at") + 1))
+    w = Window.partitionBy(*page).orderBy("at")
+    kept = marked.withColumn("line", F.when(F.col("drop"), None).when(F.col("cut"), F.regexp_replace("line", rf"[{_MARKS}]\s*$", "")).otherwise(F.col("line")))
+    past = w.rowsBetween(Window.unboundedPreceding, -1)
+    before, was_cut = F.last("line", ignorenulls=True).over(past), F.last(F.when(~F.col("drop"), F.col("cut")), ignorenulls=True).over(past)
+    heading = F.coalesce(F.col("line").rlike(r"^(?:[0-9]+(?:\.[0-9]+)*\s+\p{Lu}|Abstract$|References$|Discussion$)") & (F.length("line") < 60), F.lit(False))
+    seen = kept.withColumn("heading", heading).withColumn("before", before).withColumn("was_cut", was_cut).withColumn("width", F.max(F.length("line")).over(Window.partitionBy(*page)))
+    after_heading = F.last(F.when(~F.col("drop"), F.col("heading")), ignorenulls=True).over(past)
+    starts = F.col("before").isNull() | (F.col("before") == "") | F.col("heading") | after_heading | (F.col("before").rlike(r"[.!?]$") & (F.length("before") < 0.6 * F.col("width")))
+    joint = F.when(starts, "\n\n").when(F.col("was_cut"), "").otherwise(" ")
+    pieces = seen.withColumn("piece", F.when(F.coalesce(F.col("line"), F.lit("")) != "", F.concat(joint, F.col("line"))).otherwise(""))
+    whole = pieces.groupBy(*page).agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("parts"), F.first("null").alias("null"), F.sum(F.col("drop").cast("long")).alias("lines_dropped"))
+    joined = F.regexp_replace(F.array_join(F.transform("parts", lambda p: p.piece), ""), r"^\n+", "")
+    return whole.select(*page, F.when(~F.col("null"), joined).alias("text"), "lines_dropped")
+
+
+def _fixed(text: Column, fixes: Column) -> Column:
+    """A page with its misread words replaced, on the lines where they stand."""
 
-            def word(m: re.Match) -> str:
+    @F.pandas_udf(T.StringType())
+    def apply(texts: pd.Series, fixes: pd.Series) -> pd.Series:
+        def one(page, pairs):
+            if page is None or pairs is None:
+                return page
+            lines = page.split("\n")
+            by_line: dict[int, dict[str, str]] = {}
+            for p in pairs:
+                by_line.setdefault(p["line_no"] - 1, {})[p["word"]] = p["right"]
+
+            def word(m: re.Match, right: dict[str, str]) -> str:
                 form = word_form(m[0])
                 if form not in right:
                     return m[0]
@@ -341,8 +347,11 @@ def _fixed(line: Column, fix: Column) -> Column:
                 new = new.upper() if core.isupper() and len(core) > 1 else new[:1].upper() + new[1:] if core[:1].isupper() else new
                 return m[0].replace(core, new, 1)
 
-            return re.sub(r"\S+", word, line)
+            for i, right in by_line.items():
+                if i < len(lines):
+                    lines[i] = re.sub(r"\S+", lambda m: word(m, right), lines[i])
+            return "\n".join(lines)
 
-        return pd.Series([one(a, b) for a, b in zip(lines, fixes)])
+        return pd.Series([one(a, b) for a, b in zip(texts, fixes)])
 
-    return F.when(fix.isNull(), line).otherwise(apply(F.when(fix.isNotNull(), line), fix))
+    return F.when(fixes.isNull(), text).otherwise(apply(F.when(fixes.isNotNull(), text), fixes))
