@@ -12,7 +12,7 @@ Texts then find their container by their rank among texts of their length. Ranks
 salted parts, so a length that a third of all texts share is no single task.
 
 A text longer than the capacity is cut into full containers and a remainder, which is packed like
-any other. Texts without tokens (null, empty) take no room and have no container. Duplicated
+any other. Texts without tokens (null, empty) take no room: they come out with size 0 and no container. Duplicated
 ``doc_id`` are separate texts only if the rows differ in number; equal keys are ordered arbitrarily.
 """
 
@@ -231,7 +231,8 @@ def _assign(patterns: list[tuple[Pattern, int]], capacity: int):
 
 def pack(counted: DataFrame, capacity: int = CAPACITY, nodes: int = NODES, part: int = PART) -> DataFrame:
     """(doc_id, tokens) -> (doc_id, piece, first_token, size, container)."""
-    all_ = cut(items(counted, capacity))
+    counted = cut(counted.select("doc_id", "tokens"))
+    all_ = items(counted, capacity)
     hist = {r.size: r.n for r in all_.groupBy("size").agg(F.count("*").alias("n")).withColumnRenamed("size", "size").toLocalIterator()}  # at most `capacity` rows
     patterns = plan(hist, capacity, nodes)
     salts = max(1, -(-max(hist.values(), default=1) // part))
@@ -242,9 +243,11 @@ def pack(counted: DataFrame, capacity: int = CAPACITY, nodes: int = NODES, part:
     ranked = salted.withColumn("r", F.row_number().over(Window.partitionBy("size", "salt").orderBy("doc_id", "piece"))).join(offsets, ["size", "salt"])
     ranked = ranked.select("doc_id", "piece", "first_token", "size", (F.col("before") + F.col("r") - 1).cast("long").alias("rank"))
     schema = f"doc_id {all_.schema['doc_id'].dataType.simpleString()}, piece int, first_token long, size int, container long"
-    return ranked.mapInArrow(_assign(patterns, capacity), schema)
+    placed = ranked.mapInArrow(_assign(patterns, capacity), schema)
+    empty = counted.where("tokens is null or tokens <= 0").select("doc_id", F.lit(0).alias("piece"), F.lit(0).cast("long").alias("first_token"), F.lit(0).alias("size"), F.lit(None).cast("long").alias("container"))
+    return placed.unionByName(empty)
 
 
 def fill(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Every container with its number of texts, its tokens and its unused room."""
-    return packed.groupBy("container").agg(F.count("*").alias("texts"), F.sum("size").alias("tokens"), (F.lit(capacity) - F.sum("size")).alias("unused"))
+    return packed.where("container is not null").groupBy("container").agg(F.count("*").alias("texts"), F.sum("size").alias("tokens"), (F.lit(capacity) - F.sum("size")).alias("unused"))

@@ -72,8 +72,10 @@ def test_every_text_is_placed_once_and_whole(spark):
         pieces: dict = {}
         load: Counter = Counter()
         for r in rows:
-            pieces.setdefault(r.doc_id, []).append((r.first_token, r.size))
-            load[r.container] += r.size
+            if r.container is not None:
+                pieces.setdefault(r.doc_id, []).append((r.first_token, r.size))
+                load[r.container] += r.size
+        assert sorted(r.doc_id for r in rows if r.container is None) == sorted([2000, *(d for d, n in sizes.items() if not n)])
         assert max(load.values()) <= 100 and sorted(load) == list(range(len(load)))
         for d, n in sizes.items():
             got = sorted(pieces.get(d, []))
