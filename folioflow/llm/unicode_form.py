@@ -1,8 +1,10 @@
 """One form for text that reads the same but is stored with different characters.
 
-``canonical_form`` applies, in this order: compatibility normalisation in composed form,
-removal of default-ignorable characters, look-alike letters of other scripts to the Latin letter
-of the same shape, hyphens of equal look to one, and every run of white space to a single space.
+``canonical_form`` applies, in this order: canonical decomposition, removal of default-ignorable
+characters, look-alike letters of other scripts to the Latin letter of the same shape (before any
+compatibility mapping, which would turn some into letters of another shape), hyphens of equal look
+to one, compatibility normalisation in composed form; all of it once more for the letters that
+this brings to light; and every run of white space to a single space.
 ``folded_form`` adds full case folding for comparisons that ignore case.
 
 The normaliser runs once per distinct value of an Arrow batch, and printable ASCII text never
@@ -56,9 +58,13 @@ def canonical(text: str) -> str:
     """The form of one text, case and accents kept."""
     if text.isascii():
         return " ".join(text.split())
-    # Twice: a removed joiner can bring a letter and its accent together.
-    text = _IGNORE.sub("", unicodedata.normalize("NFKC", text))
-    return " ".join(unicodedata.normalize("NFKC", text).translate(_ALIKE).split())
+    # Decomposed, a look-alike is mapped under its accent too, and the lunate sigma is still one. Twice,
+    # because compatibility characters hide look-alikes and ignorable characters.
+    for _ in range(2):
+        text = unicodedata.normalize("NFKC", _IGNORE.sub("", unicodedata.normalize("NFD", text)).translate(_ALIKE))
+        if text.isascii():
+            break
+    return " ".join(text.split())
 
 
 def folded(text: str) -> str:

@@ -21,6 +21,18 @@ def test_what_reads_differently_stays_apart():
     assert U.folded("STRASSE") == U.folded("Straße") == "strasse"
 
 
+def test_every_look_alike_reaches_its_letter():
+    assert {k: U.canonical(k) for k in U.LOOKALIKES} == U.LOOKALIKES
+    assert U.canonical("Dependen\u03f2y \u03f9ase") == "Dependency Case"
+    assert U.canonical("\u03c3\u03c2 \u03a3") == "\u03c3\u03c2 \u03a3"  # other sigmas have no Latin shape
+
+
+def test_look_alikes_under_accents_are_composed():
+    same = ["\u00e9\u00eb", "e\u0301e\u0308", "\u0435\u0301\u0435\u0308", "\u0435\u0301\u0451", "\u0435\u200b\u0301\u0451"]
+    assert {U.canonical(t) for t in same} == {"\u00e9\u00eb"}
+    assert U.canonical("\u0439\u03ae") == U.canonical("\u0438\u0306\u03b7\u0301") == "\u0439\u03ae"  # no Latin shape below the accent
+
+
 @given(st.text(max_size=40))
 def test_a_form_is_its_own_form(t):
     form = U.canonical(t)
