@@ -266,13 +266,13 @@ class Noise:
         h = self.rows.where("kind = 'h'").select("paper_id", "page_number", "line_no", F.col("a").alias("left"), F.col("b").alias("right"), F.col("c").alias("mark"), F.concat("a", "b").alias("joined"), F.concat_ws("-", "a", "b").alias("hyphened"))
         v = self.vocabulary
         counted = h.join(v.select(F.col("word").alias("joined"), F.col("n").alias("n_joined")), "joined", "left").join(v.select(F.col("word").alias("hyphened"), F.col("n").alias("n_hyphened")), "hyphened", "left")
-        # An unknown join may be a misread word: its skeleton's most frequent form decides then.
-        odd = counted.where("n_joined is null and n_hyphened is null or n_joined <= 2").select("joined", _one_skeleton(F.col("joined")).alias("skeleton")).distinct()
+        # A join may be a misread word, however often its misread form occurs: its skeleton's most frequent form decides.
+        odd = counted.select("joined", _one_skeleton(F.col("joined")).alias("skeleton")).distinct()
         best = v.select("word", "n", _one_skeleton(F.col("word")).alias("skeleton")).join(odd, "skeleton").where("word <> joined").groupBy("joined").agg(F.max(F.struct("n", "word")).alias("top"))
         all_ = counted.join(best, "joined", "left")
         n_joined, n_hyphened = F.coalesce("n_joined", F.lit(0)), F.coalesce("n_hyphened", F.lit(0))
         broken = (n_joined > n_hyphened) | ((n_hyphened == 0) & ((F.col("mark") == "mark") | F.col("top").isNotNull() | (n_joined == 0)))
-        wrong = F.when((F.col("top.n") >= RATIO * F.greatest(n_joined, F.lit(1))), F.when(F.startswith(F.col("top.word"), F.col("left")), "right").otherwise("left"))
+        wrong = F.when((F.col("top.n") >= RATIO * F.greatest(n_joined, F.lit(1))) & self._misreadable("joined", "top.word"), F.when(F.startswith(F.col("top.word"), F.col("left")), "right").otherwise("left"))
         return all_.where(broken).select("paper_id", "page_number", "line_no", "left", "right", wrong.alias("wrong_half"), F.col("top.word").alias("joined_right"))
 
     def lines(self) -> DataFrame:

@@ -55,6 +55,11 @@ def test_known_compounds_keep_their_hyphen(spark):
     assert found(base, papers)[0] == set()
 
 
+def test_a_cut_word_is_misread_however_often_its_form_occurs(spark):
+    scan, rest = found(*corpus(spark, ["the rnachine and\nthe rnachine of\nthe rnachine or\nof historical rna-\nchine translation"]))
+    assert {x for x in scan if x[1] >= 4} == {(1, 4, "broken_word"), (1, 4, "misread")} and not rest
+
+
 def test_bad_rows(spark):
     pages, papers = corpus(spark, ["", None, "\n\n", "plain"])
     odd = spark.createDataFrame([(None, 1, None, "text", None), ("q", None, None, "text", None), ("q", 1, None, None, None), ("long", 1, None, "word " * 100_000, None)], H.PAGES)
