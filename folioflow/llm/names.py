@@ -272,6 +272,13 @@ def entities(papers: DataFrame, name_forms: DataFrame) -> DataFrame:
     parts = parts.select("bag", F.col("middle").alias("full_middle"), "surname", F.substring(F.split("bag", " ")[1 - F.col("at")], 1, 1).alias("first"))
     fits = initialled.join(parts, ["surname", "first"]).where((F.col("middle") == "") | (F.col("full_middle") == "") | (F.col("middle") == F.col("full_middle")))
     one = fits.groupBy("name", "papers").agg(F.count("*").alias("k"), F.min(F.struct("bag", "full_middle")).alias("m"))
+    # A surname that stands in no full name with this initial may be a slip of one that does.
+    missing = cut(initialled.join(parts.select("surname", "first").distinct(), ["surname", "first"], "left_anti"))
+    surnames = missing.select("surname").unionByName(parts.select("surname")).select(F.col("surname").alias("word")).where(F.length("word") >= SHORTEST - 1)
+    meant = near_words(surnames).where((F.length("word") >= SHORTEST) | (F.length("near") >= SHORTEST)).select(F.col("word").alias("surname"), "near")
+    slipped = missing.join(meant, "surname").join(parts.withColumnRenamed("surname", "near"), ["near", "first"]).where((F.col("middle") == "") | (F.col("full_middle") == "") | (F.col("middle") == F.col("full_middle")))
+    slipped = slipped.select("name", "papers", "bag", "full_middle").distinct().groupBy("name", "papers").agg(F.count("*").alias("k"), F.min(F.struct("bag", "full_middle")).alias("m")).where("k = 1")
+    one = cut(one.unionByName(slipped))
     found = one.where("k = 1").select("name", "papers", F.col("m.bag").alias("bag"), F.col("m.full_middle").alias("middle"))
     # With no full name the initials are the name; with several the spelling stays by itself.
     alone = initialled.join(one, ["name", "papers"], "left").select("name", "papers", F.when(F.col("k").isNull(), F.concat_ws(" ", F.col("first"), F.col("surname"))).otherwise(F.concat(F.lit("?"), F.col("name"))).alias("bag"), "middle").join(found.select("name"), "name", "left_anti")

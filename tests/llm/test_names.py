@@ -43,6 +43,14 @@ def test_all_spellings_of_one_person(spark):
     assert got == {frozenset((a, b)) for a in FREDERICK for b in FREDERICK if a != b}
 
 
+def test_a_slip_in_the_surname_beside_an_initial(spark):
+    names = ["Frederick Kamadapir", "F. Kamadpair", "Kamadapirr, F."]
+    assert pairs(spark, names) == {frozenset((a, b)) for a in names for b in names if a != b}
+    assert pairs(spark, ["Frederick Kamadapir", "G. Kamadpair"]) == set()
+    # It fits two people, so it is neither; its own spellings stay together.
+    assert pairs(spark, ["Frederick Kamadapir", "Florence Kamadapir", "F. Kamadpair", "Kamadpair, F."]) == {frozenset(("F. Kamadpair", "Kamadpair, F."))}
+
+
 def test_other_people_stay_apart(spark):
     assert pairs(spark, ["Anna B. Kamadapir", "Anna C. Kamadapir", "Anna Lomeseval", "Berta Kamadapir", "Anna Kamadapor Lo"]) == set()
     assert pairs(spark, ["F. Kamadapir", "Frederick Kamadapir", "Florence Kamadapir"]) == set()  # the initial fits both
