@@ -5,18 +5,24 @@ done. Intervals never cross a block of ``BLOCK`` numbers, so merging and subtrac
 one block at a time: a window partition holds at most ``BLOCK`` numbers whatever the table's size,
 and a hot key cannot make one larger. What a run has to do is *available minus done*, which also
 finds numbers that were committed late, behind the highest number already processed.
+
+A record gets its number when a ledger first sees it (``Ledger.number``). The number is stored and
+never given again, so a record that arrives late takes a new number behind the others, whatever
+its time stamp says, and moves no other record's number.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioflow.operators.sequence import dense_sequence
-from folioflow.session import cut
+from folioflow.session import checkpoint_dir, cut, remove
 
 #: Sequence numbers in a block of the ledger.
 BLOCK = 1 << 16
@@ -78,74 +84,166 @@ def pending(rows: DataFrame, done: DataFrame, seq: str = "seq") -> DataFrame:
     return rows.join(gaps, seq, "left_semi")
 
 
-class Ledger:
-    """Intervals in a folder: one immutable snapshot and one numbered commit file a run.
+class Taken(RuntimeError):
+    """Another run has committed some of the same numbers; nothing of this commit is visible."""
 
-    A run's output and its merged intervals lie in one snapshot folder and become visible together
-    when its commit file is renamed into place. A run that dies before leaves no trace, and the
-    next run sees the same gaps again. Of two runs that commit at once the second fails, because
-    its number is taken.
+
+class Ledger:
+    """Intervals and numbers in a folder, as immutable snapshots and numbered commit files.
+
+    A run writes its output and the merged intervals into a snapshot folder of its own. Both become
+    visible together when the commit file with the next number appears. Only one run can make a
+    given number: the file is complete before it takes its name, by a hard link on local disks and
+    by a rename elsewhere, neither of which replaces a file that is there (the file system has to
+    promise that, as HDFS does). The loser of a race reads the ledger again and merges its own
+    intervals into what the winner committed, so no commit is lost. If both did the same
+    numbers the second raises ``Taken`` and its output stays invisible: nothing is done twice. A run
+    that dies before its commit file leaves no trace, and the next run sees the same gaps again.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
+    def _path(self, *parts: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(os.path.join(self.folder, *parts))
+
     def _fs(self):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
-        return path(self.folder).getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+        return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _chain(self, kind: str) -> list[dict]:
+        """The contents of the commit files of a kind, first to last."""
+        fs, out = self._fs(), []
+        if not fs.exists(self._path()):
+            return out
+        for name in sorted(n for n in (x.getPath().getName() for x in fs.listStatus(self._path())) if n.startswith(f"{kind}-")):
+            stream = fs.open(self._path(name))
+            try:
+                out.append(json.loads(bytes(stream.readAllBytes())))
+            finally:
+                stream.close()
+        return out
+
+    def _publish(self, kind: str, number: int, content: dict) -> bool:
+        """Whether commit file ``number`` is now this one. False: another run was first."""
+        fs, new, target = self._fs(), self._path(f"_{uuid.uuid4().hex}"), self._path(f"{kind}-{number:09d}")
+        stream = fs.create(new, False)
+        stream.write(bytearray(json.dumps(content).encode()))
+        stream.close()
+        try:
+            if fs.getUri().getScheme() != "file":
+                return not fs.exists(target) and bool(fs.rename(new, target))
+            try:
+                os.link(new.toUri().getPath(), target.toUri().getPath())
+            except FileExistsError:
+                return False
+            return True
+        finally:
+            fs.delete(new, False)
 
     def snapshots(self) -> list[str]:
         """Committed snapshots, first to last."""
-        fs, path = self._fs()
-        if not fs.exists(path(self.folder)):
-            return []
-        names = sorted(x.getPath().getName() for x in fs.listStatus(path(self.folder)))
-        return [n.split("-", 2)[2] for n in names if n.startswith("commit-")]
+        return [c["snapshot"] for c in self._chain("commit")]
 
-    def done(self) -> DataFrame:
-        if not (names := self.snapshots()):
+    def _done(self, chain: list[dict]) -> DataFrame:
+        if not chain:
             return self.spark.createDataFrame([], INTERVALS)
-        return self.spark.read.parquet(os.path.join(self.folder, names[-1], "intervals"))
+        return self.spark.read.schema(INTERVALS).parquet(os.path.join(self.folder, chain[-1]["snapshot"], chain[-1]["intervals"]))
+
+    def done(self) -> DataFrame:
+        return self._done(self._chain("commit"))
 
     def outputs(self) -> DataFrame | None:
-        names = self.snapshots()
-        return self.spark.read.parquet(*[os.path.join(self.folder, n, "output") for n in names]) if names else None
-
-    def commit(self, processed: DataFrame, output: DataFrame, seq: str = "seq") -> str:
-        before, name = self.snapshots(), f"snapshot-{uuid.uuid4().hex}"
-        output.write.parquet(os.path.join(self.folder, name, "output"))
-        merge(self.done(), to_intervals(processed, seq)).write.parquet(os.path.join(self.folder, name, "intervals"))
-        fs, path = self._fs()
-        number = f"commit-{len(before):09d}-"
-        if len(self.snapshots()) != len(before):
-            raise RuntimeError("another run has committed to this ledger meanwhile")
-        new = path(os.path.join(self.folder, f"_{name}"))
-        fs.create(new, True).close()
-        if not fs.rename(new, path(os.path.join(self.folder, number + name))):
-            raise RuntimeError("another run has committed to this ledger meanwhile")
-        return name
-
-
-def run_new(ledger: Ledger, rows: DataFrame, process, seq: str = "seq") -> DataFrame:
-    """Process exactly the gaps of the ledger and commit them with their output."""
-    todo = cut(pending(rows, ledger.done(), seq))
-    ledger.commit(todo, process(todo), seq)
-    return todo
-
-
-def unit_log(units: DataFrame) -> DataFrame:
-    """Every distinct state of every unit, numbered in order of arrival.
+        """The output of all commits that have one."""
+        paths = [os.path.join(self.folder, c["snapshot"], "output") for c in self._chain("commit") if c["output"]]
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def commit(self, processed: DataFrame, output: DataFrame | None = None, seq: str = "seq") -> str:
+        """Add the numbers of ``processed`` with their output; raises ``Taken`` if some are done already."""
+        return self.commit_intervals(cut(to_intervals(processed, seq)), output)
+
+    def commit_intervals(self, mine: DataFrame, output: DataFrame | None = None) -> str:
+        name = f"snapshot-{uuid.uuid4().hex}"
+        if output is not None:
+            output.write.parquet(os.path.join(self.folder, name, "output"))
+        while True:
+            chain = self._chain("commit")
+            before = self._done(chain)
+            if chain and not overlap(mine, before).isEmpty():
+                remove(self.spark, os.path.join(self.folder, name))
+                raise Taken("another run has committed some of these numbers")
+            intervals = f"intervals-{len(chain):09d}"
+            (merge(before, mine) if chain else mine).write.mode("overwrite").parquet(os.path.join(self.folder, name, intervals))
+            if self._publish("commit", len(chain), {"snapshot": name, "intervals": intervals, "output": output is not None}):
+                return name
+
+    def log(self, key: list[str]) -> DataFrame | None:
+        """(key..., seq) of all records ever numbered; None before the first."""
+        chain = self._chain("numbers")
+        return self.spark.read.parquet(*[os.path.join(self.folder, c["part"]) for c in chain]).select(*key, "seq") if chain else None
+
+    def number(self, records: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+        """(key..., seq) of all records; those not seen before get the next numbers, in ``order``.
+
+        A key with nulls is a key like any other. Repeated records have one number. ``order`` are
+        columns of ``records``; the smallest of a repeated record counts.
+        """
+        extra = [c for c in order if c not in key]
+        one = records.groupBy(*key).agg(*[F.min(c).alias(c) for c in extra]) if extra else records.select(*key).distinct()
+        while True:
+            chain, known = self._chain("numbers"), self.log(key)
+            new = one if known is None else one.join(known, _same(one, known, key), "left_anti")
+            first = chain[-1]["next"] if chain else 0
+            part = f"numbers_{uuid.uuid4().hex}"
+            dense_sequence(new, [*order, *(c for c in key if c not in order)]).select(*key, (F.col("seq") + first).alias("seq")).write.parquet(os.path.join(self.folder, part))
+            fresh = self.spark.read.parquet(os.path.join(self.folder, part))
+            if n := fresh.count():
+                if not self._publish("numbers", len(chain), {"part": part, "next": first + n}):
+                    remove(self.spark, os.path.join(self.folder, part))
+                    continue
+            return fresh if known is None else self.log(key)
+
+
+def _same(a: DataFrame, b: DataFrame, key: list[str]) -> Column:
+    on = F.lit(True)
+    for c in key:
+        on = on & a[c].eqNullSafe(b[c])
+    return on
+
+
+def overlap(a: DataFrame, b: DataFrame) -> DataFrame:
+    """The intervals of ``a`` of which a number is in ``b`` too."""
+    x, y = a.alias("x"), b.alias("y")
+    on = (F.col("x.block") == F.col("y.block")) & (F.col("x.lo") <= F.col("y.hi")) & (F.col("y.lo") <= F.col("x.hi"))
+    return x.join(y, on, "left_semi")
+
+
+def run_new(ledger: Ledger, rows: DataFrame, process: Callable[[DataFrame], DataFrame], seq: str = "seq") -> DataFrame:
+    """Process exactly the gaps of the ledger and commit them with their output.
+
+    If another run has meanwhile committed some of them, its work stands, and what is left is done
+    anew. Gives the rows that this run has committed.
+    """
+    while True:
+        todo = cut(pending(rows, ledger.done(), seq))
+        try:
+            ledger.commit(todo, process(todo), seq)
+        except Taken:
+            continue
+        return todo
+
+
+def unit_states(units: DataFrame) -> DataFrame:
+    """Every distinct state of every unit with the time it first arrived.
 
     Rows without an id are left out. Repeated rows count once. ``current`` marks the state built
     last; of states built at one time the one that arrived last, then the greatest hash.
     """
     states = units.where("embedding_id is not null").groupBy("embedding_id", "text_hash", "built_at").agg(F.min("arrived_at").alias("arrived_at"), F.max("arrived_at").alias("seen"))
     last = states.groupBy("embedding_id").agg(F.max(F.struct("built_at", "seen", "text_hash")).alias("top"))
-    flagged = states.join(last, "embedding_id").select(
+    return states.join(last, "embedding_id").select(
         "embedding_id", "text_hash", "built_at", "arrived_at",
         (F.struct("built_at", "seen", "text_hash").eqNullSafe(F.col("top"))).alias("current"),
     )
-    return dense_sequence(flagged, ["arrived_at", "embedding_id", "built_at", "text_hash"])
 
 
 def stored_hashes(manifest: DataFrame) -> DataFrame:
@@ -160,26 +258,56 @@ def latest_model(manifest: DataFrame) -> str | None:
     return top.m.model if top.m else None
 
 
-def pending_units(units: DataFrame, manifest: DataFrame) -> DataFrame:
+STATE = ["embedding_id", "built_at", "text_hash", "model"]
+
+
+def pending_units(ledger: Ledger, units: DataFrame, manifest: DataFrame) -> DataFrame:
     """The current unit states that the next run has to embed, with their sequence numbers.
 
-    Done are states that a later one has replaced, and current states whose hash the last
-    successful line stored under the model of the latest run. The rest are the gaps.
+    States are numbered in the ledger under the model of the latest run, so a change of model makes
+    every state new. What the manifest proves is committed: states that a later one has replaced, and current ones
+    whose hash the last successful line stored under that model. The gaps are the rest, and what a
+    run embeds is committed by ``run_new`` or ``Ledger.commit``. Calling it again numbers only states
+    that have arrived since and commits only what the manifest has newly proved. A number once done stays done,
+    also if a later line of the manifest stores an older hash again; a new ledger shows such units.
     """
-    log = cut(unit_log(units))
-    now = log.join(stored_hashes(manifest), "embedding_id", "left")
-    stored = F.col("stored_model").eqNullSafe(F.lit(latest_model(manifest))) & F.col("stored_model").isNotNull() & F.col("text_hash").eqNullSafe(F.col("stored_hash"))
-    done = to_intervals(now.where(~F.col("current") | stored))
-    return pending(log, done)
+    states = unit_states(units).withColumn("model", F.lit(latest_model(manifest)).cast("string"))
+    log = ledger.number(states, STATE, ["arrived_at", "embedding_id"])
+    now = states.join(log, _same(states, log, STATE)).select(states["embedding_id"], states["text_hash"], states["model"], states["current"], log["seq"])
+    proof = now.join(stored_hashes(manifest), "embedding_id", "left")
+    stored = F.col("stored_model").eqNullSafe(F.col("model")) & F.col("stored_model").isNotNull() & F.col("text_hash").eqNullSafe(F.col("stored_hash"))
+    seen = cut(proof.select("embedding_id", "text_hash", "seq", (~F.col("current") | stored).alias("proved")))
+    adopt(ledger, seen.where("proved"))
+    return pending(seen.drop("proved"), ledger.done())
 
 
-def pending_jobs(jobs: DataFrame, results: DataFrame) -> DataFrame:
-    """The jobs without a successful result. Their ``position`` is the sequence number.
+def pending_jobs(ledger: Ledger, jobs: DataFrame, results: DataFrame) -> DataFrame:
+    """The jobs without a successful result, with their sequence numbers.
 
-    Jobs of one paper succeed together. A position that is missing or shared by two papers would
-    hide a job, so numbers are given anew in the order (position, paper_id), one per paper.
+    A position may be missing or shared by two papers and would hide a job, so papers are numbered in
+    the ledger, new ones in the order (position, paper_id). Successes are committed.
     """
     distinct = jobs.where("paper_id is not null").groupBy("paper_id").agg(F.min("position").alias("position"))
-    log = cut(dense_sequence(distinct, ["position", "paper_id"]))
+    log = ledger.number(distinct, ["paper_id"], ["position"]).join(distinct.select("paper_id"), "paper_id", "left_semi")
     good = results.where("status = 'success' and paper_id is not null").select("paper_id").distinct()
-    return pending(log, to_intervals(log.join(good, "paper_id", "left_semi")))
+    adopt(ledger, log.join(good, "paper_id", "left_semi"))
+    return pending(log, ledger.done())
+
+
+def adopt(ledger: Ledger, proved: DataFrame, seq: str = "seq") -> None:
+    """Commit the numbers of ``proved`` that are not done yet, without output."""
+    while True:
+        new = to_intervals(proved, seq)
+        new = cut(subtract(new, ledger.done()) if ledger.snapshots() else new)
+        if new.isEmpty():
+            return
+        try:
+            ledger.commit_intervals(new)
+            return
+        except Taken:
+            continue
+
+
+def fresh_ledger(spark: SparkSession) -> Ledger:
+    """An empty ledger in a folder of its own under the shared folder."""
+    return Ledger(spark, os.path.join(checkpoint_dir(spark), f"ledger-{uuid.uuid4().hex}"))

@@ -9,16 +9,21 @@ from pyspark.sql import functions as F
 
 from folioflow.operators import incremental
 from folioflow.plans import page_queries, stage_queries
-from folioflow.session import table
+from folioflow.session import cut, remove, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    units = incremental.pending_units(table(spark, d, "embedding_units"), table(spark, d, "manifest"))
-    jobs = incremental.pending_jobs(table(spark, d, "jobs"), table(spark, d, "results"))
+    """The gaps of two ledgers that are made here from the manifest and the results."""
+    of_units, of_jobs = incremental.fresh_ledger(spark), incremental.fresh_ledger(spark)
+    units = incremental.pending_units(of_units, table(spark, d, "embedding_units"), table(spark, d, "manifest"))
+    jobs = incremental.pending_jobs(of_jobs, table(spark, d, "jobs"), table(spark, d, "results"))
     unit = units.select(F.lit("unit").alias("kind"), F.col("embedding_id").alias("key_id"))
-    return unit.unionByName(jobs.select(F.lit("job").alias("kind"), F.col("paper_id").alias("key_id"))).distinct()
+    found = cut(unit.unionByName(jobs.select(F.lit("job").alias("kind"), F.col("paper_id").alias("key_id"))).distinct())
+    for ledger in (of_units, of_jobs):
+        remove(spark, ledger.folder)
+    return found
 
 
 QUERIES: dict[str, Query] = {p5_found.__name__: p5_found} | page_queries.QUERIES | stage_queries.QUERIES
