@@ -2,6 +2,8 @@ import random
 import re
 from collections import defaultdict
 
+import pytest
+
 from folioflow.llm import boilerplate as B
 from tests.llm import helpers as H
 
@@ -43,18 +45,53 @@ def test_lines_against_brute_force(spark):
     assert len(got) == len(set(map(tuple, got))) and set(map(tuple, got)) == brute(pages, papers)
 
 
-def test_long_blocks_go_whole(spark):
+def test_blocks_have_their_whole_length(spark):
     block = [f"Notice part {chr(97 + i)}{chr(97 + i)}{chr(98 + i)} of the long legal notice" for i in range(20)]
     pages = [(f"p{i}", 1, "\n".join(["own words of " + "abcdefghij"[i] * 20, *block, "the end of " + "abcdefghij"[i] * 20])) for i in range(10)]
     content, listed = tables(spark, pages, [(p, "V") for p, _, _ in pages])
-    got = {(r.paper_id, r.line_no) for r in B.repeated_lines(content, listed, depth=8).collect()}
-    assert got == {(f"p{i}", n) for i in range(10) for n in range(2, 22)}
-    blocks, _ = B.repeated_blocks(content, listed, depth=8)
-    assert max(len(r.block) for r in blocks.collect()) == 8 and all(r.papers == 10 for r in blocks.collect())
+    got = {(r.paper_id, r.line_no): r.block for r in B.repeated_lines(content, listed).collect()}
+    assert got == {(f"p{i}", n): 22 - n for i in range(10) for n in range(2, 22)}
     texts = {r.paper_id: (r.clean_text, r.lines_removed) for r in B.strip_pages(content, listed).collect()}
     assert texts["p3"] == ("own words of " + "d" * 20 + "\nthe end of " + "d" * 20, 20)
 
 
+def brute_blocks(rows, least):
+    """(page, line_no) -> the longest beginning of its suffix that suffixes of enough papers share."""
+    seen = defaultdict(set)
+    for _, paper, _, _, suffix in rows:
+        for n in range(1, len(suffix) + 1):
+            seen[tuple(suffix[:n])].add(paper)
+    best = {(page, line): max((n for n in range(1, len(s) + 1) if len(seen[tuple(s[:n])]) >= least), default=0) for page, _, _, line, s in rows}
+    return {k: n for k, n in best.items() if n}
+
+
+@pytest.mark.parametrize("parts", [1, 7, 40])
+def test_array_over_any_number_of_partitions(spark, parts):
+    """Ranges that end inside a partition, cross a boundary or cover whole partitions, against sets of all prefixes."""
+    rng = random.Random(parts)
+    rows, notice = [], [1, 2, 3, 4, 5, 6]
+    for page in range(160):
+        ids = [rng.randrange(7, 60) for _ in range(rng.randrange(4))] + notice[rng.choice([0, 0, 0, 2]) : rng.choice([6, 6, 3, 4])] + [rng.randrange(7, 12) for _ in range(rng.randrange(3))]
+        rows += [(page, page // 2, 6, i + 1, ids[i:]) for i in range(len(ids))]
+    df = spark.createDataFrame(rows, B._SUFFIX)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranged = df.repartitionByRange(parts, "suffix", "page", "line_no").sortWithinPartitions("suffix", "page", "line_no")
+        got = {(r.page, r.line_no): r.block for r in B.repeated_blocks(ranged).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == brute_blocks(rows, 6)
+
+
+def test_only_the_array_decides(spark):
+    """In another order, where equal beginnings are no neighbours, nothing is found."""
+    pages = [(f"p{i:02}", 1, NOTE.format(i) + "\nown text of the paper number " + "abcdefghijklmnopqrstuvwxyz"[i]) for i in range(20)]
+    content, listed = tables(spark, pages, [(p, "V") for p, _, _ in pages])
+    _, suffixes = B.suffix_array(content, listed)
+    assert B.repeated_blocks(suffixes).count() == 20
+    assert B.repeated_blocks(suffixes.repartition(1).sortWithinPartitions("page", "line_no")).count() == 0
+
+
 def test_repeats_within_one_paper_do_not_count(spark):
     pages = [("p0", n, NOTE.format(n)) for n in range(30)] + [(f"p{i}", 1, "x") for i in range(1, 5)]
     content, listed = tables(spark, pages, [(f"p{i}", "V") for i in range(5)])
