@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from folioflow.functions.contract import FIELDS
 from folioflow.functions.text import blank_to_null, text_hash
 from folioflow.operators.sequence import dense_sequence
+from folioflow.session import cut
 
 # Fixed values.
 LABELS = {
@@ -102,12 +103,14 @@ EMBEDDED = "embedding_id string, batch long, status string, error string, embedd
 
 
 def embed(batched: DataFrame, make_client: Callable[[], Callable[[list[str]], list[list[float]]]]) -> DataFrame:
-    """Embed each batch with one call; a batch fails as a whole: an error, a wrong count, empty or unequal vectors."""
+    """Embed each batch with one call; a batch fails as a whole: an error, a wrong count, empty or unequal vectors.
 
-    def one(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values("ordinal")
+    ``make_client`` runs once a partition. A lost task calls again.
+    """
+
+    def one(client: Callable[[list[str]], list[list[float]]], df: pd.DataFrame) -> pd.DataFrame:
         try:
-            got = make_client()(df.text.tolist())
+            got = client(df.text.tolist())
             sizes = {len(v) for v in got}
             if len(got) != len(df):
                 raise ValueError(f"{len(got)} vectors for {len(df)} texts")
@@ -118,7 +121,41 @@ def embed(batched: DataFrame, make_client: Callable[[], Callable[[list[str]], li
             out = df.assign(status="failed", error=f"{type(e).__name__}: {e}", embedding=None)
         return out[["embedding_id", "batch", "status", "error", "embedding"]]
 
-    return batched.select("embedding_id", "batch", "ordinal", "text").groupBy("batch").applyInPandas(one, EMBEDDED)
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows sorted by batch; the last batch of a frame may go on in the next one."""
+        client, held = make_client(), None
+        for df in frames:
+            df = df if held is None else pd.concat([held, df])
+            last = df.batch == df.batch.iloc[-1] if len(df) else []
+            for _, part in df[~last].groupby("batch", sort=False) if len(df) else ():
+                yield one(client, part)
+            held = df[last] if len(df) else None
+        if held is not None and len(held):
+            yield one(client, held)
+
+    rows = batched.select("embedding_id", "batch", "ordinal", "text").repartition("batch").sortWithinPartitions("batch", "ordinal")
+    return rows.mapInPandas(run, EMBEDDED)
+
+
+def store_metadata(model: str, run_id: str) -> Column:
+    """The metadata that the store keeps beside a unit's vector; an empty facet is none."""
+    return F.struct("paper_id", "embedding_type", "schema_version", F.lit(model).alias("embedding_model"), "text_hash", F.lit(run_id).alias("run_id"), F.nullif("facet", F.lit("")).alias("facet"))
+
+
+def embed_and_store(units: DataFrame, store: DataFrame, make_client: Callable[[], Callable[[list[str]], list[list[float]]]], run_id: str, model: str, size: int = 96) -> tuple[DataFrame, DataFrame]:
+    """(the store's next snapshot, the manifest lines of the run).
+
+    Units that the store holds are skipped; the others are embedded in batches in the order of their
+    ids, papers before facets, and go into the store if their batch succeeds. Vectors are computed
+    once: both results read them from a table.
+    """
+    todo = plan(units, store.select("id", "metadata.text_hash", "metadata.embedding_model").distinct(), model)
+    pending = todo.where("action = 'pending'").drop("action").withColumn("__facet", F.col("embedding_type") != "paper")
+    done = cut(embed(batches(pending, ["__facet", "embedding_id"], size), make_client))
+    embedded = pending.drop("__facet").join(done.select("embedding_id", "status", "error", "embedding"), "embedding_id")
+    new = embedded.where("status = 'success'").select(F.col("embedding_id").alias("id"), "embedding", F.col("text").alias("document"), store_metadata(model, run_id).alias("metadata"))
+    lines = manifest(embedded, F.col("status"), run_id, model, F.col("error")).unionByName(manifest(todo.where("action <> 'pending'"), F.lit("skipped_existing"), run_id, model))
+    return upsert(store.select("id", "embedding", "document", "metadata"), new), lines
 
 
 def hash_client(dims: int = 64) -> Callable[[list[str]], list[list[float]]]:
@@ -155,11 +192,13 @@ def write_snapshot(df: DataFrame, folder: str, name: str) -> str:
 def verify(units: DataFrame, store: DataFrame, model: str) -> DataFrame:
     """(embedding_id, error) for everything in the store that is not as the units say.
 
-    The expected dimension is that of the first unit (by ``ordinal``) whose vector is there.
+    The expected dimension is that of the first unit whose vector is there, papers before facets, then by
+    ``ordinal``. Of differing rows under one id the one of the greatest run_id counts.
     """
-    s = store.select(F.col("id").alias("embedding_id"), F.struct("document", F.size("embedding").alias("dims"), "metadata").alias("s")).dropDuplicates(["embedding_id"])
+    version = F.struct(F.coalesce("metadata.run_id", F.lit("")).alias("run_id"), F.xxhash64("document", "embedding").alias("h"))
+    s = store.select(F.col("id").alias("embedding_id"), version.alias("v"), F.struct("document", F.size("embedding").alias("dims"), "metadata").alias("s")).groupBy("embedding_id").agg(F.max_by("s", "v").alias("s"))
     both = units.join(s, "embedding_id", "left")
-    first = both.where("s.dims > 0").agg(F.min_by("s.dims", "ordinal").alias("expected")).first()
+    first = both.where("s.dims > 0").agg(F.min_by("s.dims", F.struct(F.col("embedding_type") != "paper", "ordinal")).alias("expected")).first()
     expected = first.expected if first else None
     m = F.col("s.metadata")
     rule = lambda broken, text: F.when(broken, text)
@@ -175,7 +214,22 @@ def verify(units: DataFrame, store: DataFrame, model: str) -> DataFrame:
 
 
 def summary(lines: DataFrame) -> DataFrame:
-    """Counts of manifest lines by run, type and status, with totals: a rollup."""
+    """Counts of manifest lines by run, type and status."""
     statuses = ("success", "skipped_existing", "skipped_empty", "failed")
     counts = [F.count_if(F.col("status") == s).alias(s) for s in statuses]
     return lines.groupBy("run_id", "embedding_type").agg(*counts, F.count("*").alias("total"))
+
+
+def run_totals(lines: DataFrame, verification: DataFrame | None = None) -> DataFrame:
+    """One row a run: counts of papers and facets, units created, all failures, and the exit code.
+
+    ``verification`` has (run_id, verification_errors). A run fails, exit code 1, if a unit failed or a
+    check found an error. Empty and failed units are not created ones.
+    """
+    is_ = lambda kind, status: (F.col("embedding_type") == kind) & (F.col("status") == status)
+    names = {("paper", "success"): "paper_success", ("paper", "skipped_existing"): "paper_skipped", ("paper", "failed"): "paper_failed", ("facet", "success"): "facet_success", ("facet", "skipped_existing"): "facet_skipped", ("facet", "skipped_empty"): "facet_empty", ("facet", "failed"): "facet_failed"}
+    one = lines.groupBy("run_id").agg(*[F.count_if(is_(*k)).alias(v) for k, v in names.items()], F.max("model").alias("embedding_model"), F.count_distinct("paper_id").alias("papers"))
+    one = one.join(verification, "run_id", "left") if verification is not None else one.withColumn("verification_errors", F.lit(0).cast("long"))
+    one = one.withColumn("verification_errors", F.coalesce("verification_errors", F.lit(0))).withColumn("total_failures", F.col("paper_failed") + F.col("facet_failed"))
+    made = F.col("paper_success") + F.col("paper_skipped") + F.col("facet_success") + F.col("facet_skipped")
+    return one.withColumn("units_created", made).withColumn("exit_code", ((F.col("total_failures") > 0) | (F.col("verification_errors") > 0)).cast("int"))

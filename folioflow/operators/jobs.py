@@ -206,6 +206,49 @@ def run_jobs(jobs: DataFrame, make_client: Callable[[], Callable[[str, str], str
     return jobs.select("paper_id", "position", "context").mapInPandas(call, OUTCOME)
 
 
+class Controller:
+    """The concurrency of a run: more after successes in a row, less after a throttled call (see ``aimd``)."""
+
+    def __init__(self, initial: int = 8, least: int = 2, most: int = 24, window: int = 8, factor: float = 0.7):
+        self.current, self.clean, self.least, self.most, self.window, self.factor = initial, 0, least, most, window, factor
+
+    def observe(self, success: bool, throttles: int) -> None:
+        if throttles:
+            self.current, self.clean = max(self.least, int(max(self.least, self.current * self.factor))), 0
+        elif not success:
+            self.clean = 0
+        else:
+            self.clean += 1
+            if self.clean >= self.window:
+                self.current, self.clean = min(self.most, self.current + 1), 0
+
+
+def run_adaptive(jobs: DataFrame, make_client: Callable[[], Callable[[str, str], str]], prompt: str, folder: str, controller: Controller | None = None, calls_each: int = 8, contract_retries: int = 1) -> Controller:
+    """Call a model for all jobs that have no success in ``folder`` yet, never more at a time than the controller allows.
+
+    Each round takes the next ``current`` times ``calls_each`` jobs in the order of their positions, runs them in
+    ``current`` tasks, appends the outcomes and lets the controller see them in that order; what
+    the driver gets of a round is a flag and a number for each of its jobs. A run that broke off goes on where its last
+    complete round ended; failed jobs are tried again by the next run.
+    """
+    spark, steer = jobs.sparkSession, controller or Controller()
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    there = at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    left = resume(jobs, spark.read.schema(OUTCOME).json(folder)) if there else jobs
+    numbered = cut(dense_sequence(left.select("paper_id", "position", "context"), ["position", "paper_id"], "__nth"))
+    next_, total = 0, numbered.count()
+    while next_ < total:
+        n = steer.current * calls_each
+        chunk = numbered.where(F.col("__nth").between(next_, next_ + n - 1)).repartition(steer.current)
+        done = cut(run_jobs(chunk, make_client, prompt, contract_retries))
+        done.write.mode("append").json(folder)
+        slow = classify_error(F.lit(None).cast("int"), F.col("error_type"), F.col("error"))["throttled"]
+        for r in done.orderBy("position", "paper_id").select((F.col("status") == "success").alias("ok"), F.coalesce(slow, F.lit(False)).alias("slow")).collect():
+            steer.observe(r.ok, int(r.slow))
+        next_ += n
+    return steer
+
+
 def run_record(outcomes: DataFrame, **provenance) -> DataFrame:
     """One row: the counts of a run and where its inputs came from."""
     good = F.col("status") == "success"

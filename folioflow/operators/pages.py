@@ -19,8 +19,14 @@ NAMES = {"paper_id": "Paper ID", "title": "Title", "authors": "Authors", "venue"
 
 
 def one_per_page(pages: DataFrame, *columns: str) -> DataFrame:
-    """Pages with the wanted columns, repeated rows once; rows without a key are left out."""
-    return pages.where("paper_id is not null and page_number is not null").select(*KEY, *columns).dropDuplicates(KEY)
+    """Pages with the wanted columns, repeated rows once; rows without a key are left out.
+
+    Of differing versions of a page the greatest counts, compared column by column.
+    """
+    keyed = pages.where("paper_id is not null and page_number is not null")
+    if not columns:
+        return keyed.select(*KEY).distinct()
+    return keyed.groupBy(*KEY).agg(F.max(F.struct(*columns)).alias("__v")).select(*KEY, "__v.*")
 
 
 def repeated_noise(pages: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -46,7 +47,6 @@ def prefix_sums(df: DataFrame, order: list[str], size: str, out: str, group: str
     at_size, at_group = df.columns.index(size), df.columns.index(group) if group else None
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
@@ -95,15 +95,26 @@ def carry_forward(df: DataFrame, group: str, order: str, value: str, out: str) -
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, now, last = TaskContext.get().partitionId(), object(), None
+        part, now, last = TaskContext.get().partitionId(), None, None
         for b in batches:
-            before = []
-            for g, v in zip(b.column(at_group).to_pylist(), b.column(at_value).to_pylist()):
-                if g != now:
-                    now, last = g, None
-                before.append(last)
-                last = last if v is None else v
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(before, b.column(at_value).type), pa.array([part] * len(before), pa.int32())], names=schema.names)
+            n = b.num_rows
+            if not n:
+                continue
+            groups, values = b.column(at_group).dictionary_encode().indices.to_numpy(), b.column(at_value)
+            same = np.concatenate([[False], groups[1:] == groups[:-1]])
+            first = np.maximum.accumulate(np.where(same, 0, np.arange(n)))  # where each row's group begins
+            filled = np.maximum.accumulate(np.where(values.is_valid().to_numpy(zero_copy_only=False), np.arange(n), -1))
+            back = np.concatenate([[-1], filled[:-1]])
+            before = values.take(pa.array(back, pa.int64(), mask=back < first))
+            last = last if b.column(at_group)[0] == now else None
+            if last is not None:  # the group goes on from the batch before
+                before = pc.if_else(pc.and_(pa.array(first == 0), before.is_null()), last, before)
+            if filled[-1] >= first[-1]:
+                last = values[int(filled[-1])]
+            elif first[-1] > 0:
+                last = None
+            now = b.column(at_group)[n - 1]
+            yield pa.RecordBatch.from_arrays([*b.columns, before, pa.array(np.full(n, part, dtype=np.int32))], names=schema.names)
 
     ranged = cut(df.where(F.col(group).isNotNull()).repartitionByRange(group, order).sortWithinPartitions(group, order).mapInArrow(scan, schema))
     ends = ranged.groupBy(_PART).agg(F.min(group).alias("first"), F.max(group).alias("final"))

@@ -196,7 +196,7 @@ def layout_text(spark: SparkSession, d: str) -> DataFrame:
     return layout.layout_text(_blocks(spark, d))
 
 
-@query()
+@query(f"WITH {_BLOCKS}, pg AS (SELECT paper_id, page_number, string_agg(t, chr(10) || chr(10) ORDER BY position) AS raw_text FROM placed GROUP BY 1, 2) SELECT paper_id, page_number, raw_text, {_CLEAN('raw_text')} AS clean_text, 'native' AS text_source FROM pg")
 def pages_from_blocks(spark: SparkSession, d: str) -> DataFrame:
     raw = layout.layout_text(_blocks(spark, d))
     return raw.withColumn("clean_text", text.clean_text(F.col("raw_text"))).withColumn("text_source", F.lit("native"))
@@ -217,18 +217,22 @@ def _tables(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("o_custkey").agg(F.collect_list("cells").alias("cells"), F.count("*").alias("n")).withColumn("cols", (F.lit(4) + F.col("o_custkey") % 2).cast("int"))
 
 
-@query(f"""WITH {_CELLS} SELECT o_custkey AS table_key, least(CASE WHEN cols >= 5 THEN 0.20::DOUBLE ELSE 0 END + CASE WHEN n >= 10 THEN 0.15::DOUBLE ELSE 0 END + CASE WHEN e >= 0.15::DOUBLE THEN 0.20::DOUBLE ELSE 0 END
-  + CASE WHEN ml >= 0.10::DOUBLE THEN 0.15::DOUBLE ELSE 0 END + CASE WHEN irregular > 0 THEN 0.30::DOUBLE ELSE 0 END, 1.0::DOUBLE) AS complexity FROM s""")
+_COMPLEX = """least(CASE WHEN cols >= 5 THEN 0.20::DOUBLE ELSE 0 END + CASE WHEN n >= 10 THEN 0.15::DOUBLE ELSE 0 END + CASE WHEN e >= 0.15::DOUBLE THEN 0.20::DOUBLE ELSE 0 END
+  + CASE WHEN ml >= 0.10::DOUBLE THEN 0.15::DOUBLE ELSE 0 END + CASE WHEN irregular > 0 THEN 0.30::DOUBLE ELSE 0 END, 1.0::DOUBLE)"""
+_CONFIDENT = "greatest(0.0::DOUBLE, least(1.0::DOUBLE - least(e * 0.50::DOUBLE, 0.40::DOUBLE) - least(irregular * 0.15::DOUBLE, 0.30::DOUBLE) - CASE WHEN n = 1 OR cols = 1 THEN 0.15::DOUBLE ELSE 0 END, 1.0::DOUBLE))"
+
+
+@query(f"WITH {_CELLS} SELECT o_custkey AS table_key, {_COMPLEX} AS complexity FROM s")
 def table_complexity(spark: SparkSession, d: str) -> DataFrame:
     return _tables(spark, d).select(F.col("o_custkey").alias("table_key"), tables.complexity(F.col("cells"), F.col("n"), F.col("cols")).alias("complexity"))
 
 
-@query(f"""WITH {_CELLS} SELECT o_custkey AS table_key, greatest(0.0::DOUBLE, least(1.0::DOUBLE - least(e * 0.50::DOUBLE, 0.40::DOUBLE) - least(irregular * 0.15::DOUBLE, 0.30::DOUBLE) - CASE WHEN n = 1 OR cols = 1 THEN 0.15::DOUBLE ELSE 0 END, 1.0::DOUBLE)) AS confidence FROM s""")
+@query(f"WITH {_CELLS} SELECT o_custkey AS table_key, {_CONFIDENT} AS confidence FROM s")
 def table_confidence(spark: SparkSession, d: str) -> DataFrame:
     return _tables(spark, d).select(F.col("o_custkey").alias("table_key"), tables.confidence(F.col("cells"), F.col("n"), F.col("cols")).alias("confidence"))
 
 
-@query()
+@query(f"WITH {_CELLS} SELECT o_custkey AS table_key, 'page_1_table_1' AS table_id, {_COMPLEX} AS complexity, {_CONFIDENT} AS confidence FROM s")
 def table_scan(spark: SparkSession, d: str) -> DataFrame:
     t = _tables(spark, d)
     c, r = F.col("cells"), F.col("n")
@@ -338,11 +342,17 @@ def validate_document(spark: SparkSession, d: str) -> DataFrame:
     return ops.validate_documents(papers, pages, _table_rows(pages)).select("paper_id", F.array_join("violations", "|").alias("violations"))
 
 
-@query()
+_OCR = f"""{_QUALITY}, src AS (SELECT DISTINCT paper_id, page_number, text_source, warnings FROM page_content WHERE paper_id IS NOT NULL AND page_number IS NOT NULL),
+o AS (SELECT good.*, text_source, warnings, page_number % 5 = 0 AS broke, {_CLEAN("'recognised  ' || clean_text")} AS seen FROM good JOIN src USING (paper_id, page_number)),
+u AS (SELECT *, NOT good AND NOT broke AND coalesce(seen, '') <> '' AS used FROM o)"""
+
+
+@query(f"""WITH {_PG}, {_OCR} SELECT paper_id, page_number, raw_text, CASE WHEN used THEN seen ELSE clean_text END AS clean_text, CASE WHEN used THEN 'ocr' ELSE text_source END AS text_source,
+  array_to_string(list_concat(coalesce(warnings, []), CASE WHEN good OR used THEN [] WHEN broke THEN ['ocr failed: engine failed'] ELSE ['ocr gave no text'] END), '|') AS warnings FROM u""")
 def ocr_fallback(spark: SparkSession, d: str) -> DataFrame:
     pages = _pages(spark, d, "raw_text", "clean_text", "text_source", "warnings")
     ocr = pages.select("paper_id", "page_number", F.concat(F.lit("recognised  "), F.col("clean_text")).alias("text"), F.when(F.col("page_number") % 5 == 0, "engine failed").alias("error"))
-    return ops.ocr_fallback(pages, ocr)
+    return ops.ocr_fallback(pages, ocr).withColumn("warnings", F.array_join("warnings", "|"))
 
 
 @query("SELECT doc_id, CASE WHEN text IS NULL THEN NULL ELSE sha256(text) END AS text_hash FROM documents")

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions import contract, html, text
-from folioflow.operators import embed, jobs
+from folioflow.operators import embed, ingest, jobs
+from folioflow.operators.pages import one_per_page
+from folioflow.plans import page_queries
 from folioflow.sources import files
-from folioflow.session import cut, table
+from folioflow.session import checkpoint_dir, cut, remove, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,16 +34,21 @@ def query(sql: str | None = None):
 # Landing pages, built from the papers: the tables hold none.
 
 
-def _landing(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "papers").where("paper_id is not null").groupBy("paper_id").agg(F.min_by(F.struct("title", "authors", "venue", "paper_url"), "seen_at").alias("p")).select("paper_id", "p.*")
+def _html(spark: SparkSession, d: str, named: bool = True) -> DataFrame:
+    """(paper_id, paper_url, pdf_url, html): the paper's first listing as a landing page, with or without the tag of its title."""
+    p = table(spark, d, "papers").where("paper_id is not null").groupBy("paper_id").agg(F.min_by(F.struct("title", "authors", "venue", "paper_url", "pdf_url"), "seen_at").alias("p")).select("paper_id", "p.*")
     safe = lambda c: F.regexp_replace(F.regexp_replace(c, "&", "&amp;"), '"', "&quot;")
     tagged = F.array_join(F.transform(F.coalesce("authors", F.array().cast("array<string>")), lambda a: F.concat(F.lit('<meta name="citation_author" content="'), safe(a), F.lit('">'))), "")
     page = F.concat(
-        F.lit("<html><head><title>Papers</title>"), F.when(F.col("paper_id").endswith("1"), "").otherwise(F.concat(F.lit('<meta name="citation_title" content="'), safe(F.col("title")), F.lit('">'))), tagged,
+        F.lit("<html><head><title>Papers</title>"), F.concat(F.lit('<meta name="citation_title" content="'), safe(F.col("title")), F.lit('">')) if named else F.lit(""), tagged,
         F.coalesce(F.concat(F.lit('<meta name="citation_journal_title" content="'), safe(F.col("venue")), F.lit('">')), F.lit("")), F.lit("</head><body><h1>Site</h1><h2> "), safe(F.col("title")),
         F.lit('</h2><a href="/checklist.pdf">c</a><a href="files/'), F.col("paper_id"), F.lit('.pdf">pdf</a></body></html>'),
     )
-    return p.select("paper_id", "paper_url", page.alias("html")).select("paper_id", "paper_url", html.landing_metadata("html", "paper_url", "paper_id").alias("m"))
+    return p.select("paper_id", "paper_url", "pdf_url", page.alias("html"))
+
+
+def _landing(spark: SparkSession, d: str, named: bool = True) -> DataFrame:
+    return _html(spark, d, named).select("paper_id", "paper_url", html.landing_metadata("html", "paper_url", "paper_id").alias("m"))
 
 
 _FIRST = "p AS (SELECT * FROM papers WHERE paper_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY paper_id ORDER BY seen_at) = 1)"
@@ -51,9 +59,10 @@ def html_meta(spark: SparkSession, d: str) -> DataFrame:
     return _landing(spark, d).select("paper_id", F.col("m.title").alias("title"), F.array_join("m.authors", "|").alias("authors"), F.col("m.venue").alias("venue"))
 
 
-@query(rf"WITH {_FIRST} SELECT paper_id, regexp_replace(title, '^[{text.SPACES}]+|[{text.SPACES}]+$', '', 'g') AS title FROM p WHERE paper_id LIKE '%1'")
+@query(rf"WITH {_FIRST} SELECT paper_id, regexp_replace(title, '^[{text.SPACES}]+|[{text.SPACES}]+$', '', 'g') AS title FROM p")
 def page_title(spark: SparkSession, d: str) -> DataFrame:
-    return _landing(spark, d).where(F.col("paper_id").endswith("1")).select("paper_id", F.col("m.title").alias("title"))
+    """Titles of pages without a citation tag: the first heading."""
+    return _landing(spark, d, named=False).select("paper_id", F.col("m.title").alias("title"))
 
 
 @query(f"WITH {_FIRST} SELECT paper_id, paper_url || 'files/' || paper_id || '.pdf' AS pdf_url FROM p")
@@ -61,16 +70,52 @@ def pdf_link(spark: SparkSession, d: str) -> DataFrame:
     return _landing(spark, d).select("paper_id", F.col("m.pdf_url").alias("pdf_url"))
 
 
-@query()
+_EDGES = rf"'^[{text.SPACES}]+|[{text.SPACES}]+$', '', 'g'"
+
+
+@query(f"WITH {_FIRST} SELECT paper_id, regexp_replace(title, {_EDGES}) AS title, array_to_string(list_filter(list_transform(authors, lambda a: regexp_replace(a, {_EDGES})), lambda a: a <> ''), '|') AS authors, paper_url || 'files/' || paper_id || '.pdf' AS pdf_url, venue, NULL::VARCHAR AS published, NULL::VARCHAR AS error FROM p")
 def landing_metadata(spark: SparkSession, d: str) -> DataFrame:
-    return _landing(spark, d).select("paper_id", "m.*")
+    return _landing(spark, d).select("paper_id", "m.*").withColumn("authors", F.array_join("authors", "|"))
+
+
+# Whole papers: a plain "PDF" of the raw texts of a paper's pages, for papers with a pdf_url.
+
+_SOURCE = f"""{_FIRST}, src AS (SELECT DISTINCT paper_id, page_number, replace(coalesce(raw_text, ''), chr(12), ' ') AS t FROM page_content WHERE paper_id IS NOT NULL AND page_number IS NOT NULL),
+pdf AS (SELECT p.paper_id, '%PDF-' || chr(10) || coalesce(string_agg(t, chr(12) ORDER BY page_number), '') AS content FROM p LEFT JOIN src USING (paper_id) WHERE pdf_url IS NOT NULL GROUP BY 1),
+state AS (SELECT p.paper_id, CASE WHEN coalesce(paper_url, '') = '' THEN 'missing page_url' WHEN content IS NULL THEN 'pdf missing' WHEN strlen(content) < 1024 THEN 'pdf too small' WHEN contains(content, '/Encrypt') THEN 'pdf encrypted' END AS error FROM p LEFT JOIN pdf USING (paper_id))"""
+_READ = f"""pg AS (SELECT paper_id, page_number, raw_text, {page_queries._CLEAN('raw_text')} AS clean_text FROM (SELECT paper_id, CAST(row_number() OVER (PARTITION BY paper_id ORDER BY page_number) AS INTEGER) AS page_number,
+  array_to_string(list_filter(list_transform(string_split(t, chr(10) || chr(10)), lambda x: regexp_replace(x, {_EDGES})), lambda x: x <> ''), chr(10) || chr(10)) AS raw_text FROM src JOIN state USING (paper_id) WHERE error IS NULL))"""
+
 
+def _ingested(spark: SparkSession, d: str) -> ingest.Ingested:
+    pages = table(spark, d, "page_content").where("paper_id is not null and page_number is not null").select("paper_id", "page_number", F.translate(F.coalesce("raw_text", F.lit("")), "\f", " ").alias("t")).distinct()
+    body = pages.groupBy("paper_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_number", "t"))), lambda x: x.t), "\f").alias("body"))
+    landing = _html(spark, d)
+    pdfs = landing.where("pdf_url is not null").join(body, "paper_id", "left").select("paper_id", F.encode(F.concat(F.lit("%PDF-\n"), F.coalesce("body", F.lit(""))), "UTF-8").alias("content"))
+    return ingest.ingest(landing.select("paper_id", F.col("paper_url").alias("page_url")), landing, pdfs, ingest.PlainReader)
 
-@query("SELECT CASE WHEN pdf_url IS NULL THEN 'missing' WHEN length(pdf_url) < 60 THEN 'short' ELSE 'ok' END AS status, count(*) AS papers FROM (SELECT DISTINCT paper_id, pdf_url FROM papers) GROUP BY 1")
+
+@query(f"WITH {_SOURCE} SELECT CASE WHEN error IS NULL THEN 'ok' ELSE 'failed' END AS status, error, count(*) AS papers FROM state GROUP BY 1, 2")
 def ingest_status(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "papers").select("paper_id", "pdf_url").distinct()
-    status = F.when(F.col("pdf_url").isNull(), "missing").when(F.length("pdf_url") < 60, "short").otherwise("ok")
-    return p.groupBy(status.alias("status")).agg(F.count("*").alias("papers"))
+    return ingest.status_counts(_ingested(spark, d).papers)
+
+
+@query(page_queries.ORACLE["repeated_noise"].replace(page_queries._PG, f"{_SOURCE}, {_READ}"))
+def ingest_pages(spark: SparkSession, d: str) -> DataFrame:
+    """The text of all pages after every step of the pipeline."""
+    return _ingested(spark, d).pages.select("paper_id", "page_number", "clean_text")
+
+
+@query(f"""WITH {_SOURCE}, {_READ} SELECT paper_id, title, CAST(n AS INTEGER) AS page_count, 'ok' AS status FROM (SELECT paper_id, regexp_replace(title, {_EDGES}) AS title FROM p) JOIN (SELECT paper_id, count(*) AS n FROM pg GROUP BY 1) USING (paper_id)""")
+def ingest_papers(spark: SparkSession, d: str) -> DataFrame:
+    """The papers that come out, by their contexts."""
+    whole = _ingested(spark, d)
+    return whole.papers.join(whole.contexts.select("paper_id"), "paper_id").select("paper_id", "title", "page_count", "status")
+
+
+@query("SELECT doc_id, sha256(text) AS sha256 FROM documents")
+def file_hash(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", files.file_hash(F.encode("text", "UTF-8")).alias("sha256"))
 
 
 @query("SELECT doc_id, CASE WHEN text IS NULL THEN 'missing' WHEN strlen(CASE WHEN doc_id % 3 = 0 THEN '%PDF-' ELSE '' END || text) < 1024 THEN 'too small' WHEN doc_id % 3 <> 0 THEN 'not a PDF' END AS error FROM documents")
@@ -188,7 +233,21 @@ def contract_validate(spark: SparkSession, d: str) -> DataFrame:
     return _replies(spark, d).select("paper_id", "kind", contract.contract_error("raw").alias("error"))
 
 
-@query()
+def _breach() -> str:
+    """The first breach of the contract in the successful results, field by field, as the contract says it."""
+    cases = []
+    for f in contract.FIELDS:
+        x = f"response.{f}"
+        blank = f"regexp_replace({x}.value, '[{text.SPACES}]', '', 'g') = ''"
+        cases += [f"WHEN {x} IS NULL THEN '{f} must be an object'", (f"WHEN {'(k = 2 OR ' if f == 'problem_gap' else '('}{blank}) AND {x}.value IS NOT NULL THEN '{f}.value must be null or a non-empty string'")]
+        cases += [f"WHEN {x}.source_span IS NULL THEN '{f}.source_span must be a list'", f"WHEN len({x}.source_span) > 3 THEN '{f}.source_span may contain at most # spans'"]
+        cases += [f"WHEN {x}.confidence IS NULL THEN '{f}.confidence must be numeric'", f"WHEN {x}.confidence NOT BETWEEN 0 AND 1 THEN '{f}.confidence must be between #.# and #.#'"]
+        cases += [f"WHEN {x}.value IS NULL AND len({x}.source_span) > 0 THEN '{f}: null value requires empty source_span'", f"WHEN {x}.value IS NULL AND {x}.confidence <> 0 THEN '{f}: null value requires confidence #.#'"]
+        cases += [f"WHEN len(list_filter({x}.source_span, lambda s: coalesce(s.text, '') = '')) > 0 THEN '{f}.source_span[#].text must be a non-empty string'"]
+    return "CASE WHEN k = 0 THEN 'response is not valid JSON: Extra data: line # column # (char #)' WHEN k = 1 THEN 'top-level fields mismatch; missing=[''reproducibility''], extra=[''repro'']' " + " ".join(cases) + " ELSE 'accepted' END"
+
+
+@query(f"WITH r AS (SELECT *, (length(paper_id) + position) % 11 AS k FROM results WHERE status = 'success' AND paper_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY paper_id ORDER BY metadata.completed_at DESC, position DESC) = 1) SELECT {_breach()} AS outcome, count(*) AS replies FROM r GROUP BY 1")
 def contract_errors(spark: SparkSession, d: str) -> DataFrame:
     checked = _replies(spark, d).withColumn("error", contract.contract_error("raw"))
     return checked.groupBy(F.regexp_replace(F.coalesce("error", F.lit("accepted")), r"[0-9]+", "#").alias("outcome")).agg(F.count("*").alias("replies"))
@@ -235,10 +294,9 @@ _LABEL = "CASE facet " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in embed.LAB
 _STATUS = "CASE WHEN value IS NOT NULL THEN 'unit' WHEN facet IN ('problem_gap', 'claimed_contribution', 'technical_approach') THEN 'failed' ELSE 'skipped_empty' END"
 
 
-@query("SELECT count(*) AS records, count(*) FILTER (status = 'success') AS successes, count(DISTINCT paper_id) AS papers FROM results")
+@query("SELECT paper_id, count(*) AS successes FROM results WHERE status = 'success' GROUP BY 1")
 def success_filter(spark: SparkSession, d: str) -> DataFrame:
-    r = table(spark, d, "results")
-    return r.agg(F.count("*").alias("records"), F.count_if(F.col("status") == "success").alias("successes"), F.count_distinct("paper_id").alias("papers"))
+    return embed.successes(table(spark, d, "results")).groupBy("paper_id").agg(F.count("*").alias("successes"))
 
 
 def _titled(spark: SparkSession, d: str) -> DataFrame:
@@ -259,7 +317,25 @@ def title_map(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT paper_id AS anthology_id, paper_url AS page_url, title, count(*) AS times FROM papers GROUP BY ALL")
 def scan_papers(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "papers").select(F.col("paper_id").alias("anthology_id"), F.col("paper_url").alias("page_url"), "title").groupBy("anthology_id", "page_url", "title").agg(F.count("*").alias("times"))
+    """The papers as JSON arrays in files, a file a partition, read as paper lists."""
+    p = table(spark, d, "papers").select(F.to_json(F.struct(F.col("paper_id").alias("anthology_id"), F.col("paper_url").alias("page_url"), "title")).alias("value"))
+
+    def array(batches):
+        import pyarrow as pa
+
+        begun = False
+        for b in batches:
+            rows = b.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array([("," if begun or i else "[") + r for i, r in enumerate(rows)], pa.string())], names=["value"])
+            begun = begun or bool(rows)
+        yield pa.RecordBatch.from_arrays([pa.array(["]" if begun else "[]"], pa.string())], names=["value"])
+
+    folder = f"{checkpoint_dir(spark)}/papers-{uuid.uuid4().hex}"
+    p.mapInArrow(array, "value string").write.text(folder)
+    read = files.paper_list(spark, folder).groupBy("anthology_id", "page_url", "title").agg(F.count("*").alias("times"))
+    out = cut(read)
+    remove(spark, folder)
+    return out
 
 
 @query(f"WITH {_LATEST}, {_VALUES} SELECT * FROM v")
@@ -329,6 +405,46 @@ def embed_stub(spark: SparkSession, d: str) -> DataFrame:
     return embed.embed(embed.batches(_units(spark, d), ["embedding_id"], 96), embed.hash_client).select("embedding_id", "batch", "status", "error", F.size("embedding").alias("dims"))
 
 
+_STORED = "s AS (SELECT DISTINCT id, len(embedding) AS dims, document, metadata AS m FROM stored_vectors WHERE id IS NOT NULL)"
+
+
+def _kept_and_new(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return embed.embed_and_store(_units(spark, d), table(spark, d, "stored_vectors").where("id is not null"), embed.hash_client, "run-next", MODEL)
+
+
+@query(_UNITS + f""", {_STORED}, w AS (SELECT u.* FROM u WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.id = u.embedding_id AND s.m.text_hash = u.text_hash AND s.m.embedding_model = '{MODEL}'))
+SELECT id, document, coalesce(dims, -1) AS dims, m.text_hash AS text_hash, m.embedding_model AS model, m.run_id AS run_id, m.facet AS facet FROM s WHERE id NOT IN (SELECT embedding_id FROM w)
+UNION ALL SELECT embedding_id, text, 64, text_hash, '{MODEL}', 'run-next', facet FROM w""")
+def embed_store(spark: SparkSession, d: str) -> DataFrame:
+    """The store after a run that embeds what is pending."""
+    return _kept_and_new(spark, d)[0].select("id", "document", F.coalesce(F.size("embedding"), F.lit(-1)).alias("dims"), "metadata.text_hash", F.col("metadata.embedding_model").alias("model"), "metadata.run_id", "metadata.facet").distinct()
+
+
+@query(_UNITS + f""", {_STORED} SELECT embedding_id, text_hash, CASE WHEN EXISTS (SELECT 1 FROM s WHERE s.id = u.embedding_id AND s.m.text_hash = u.text_hash AND s.m.embedding_model = '{MODEL}') THEN 'skipped_existing' ELSE 'success' END AS status, 'run-next' AS run_id, NULL::VARCHAR AS error FROM u""")
+def embed_manifest(spark: SparkSession, d: str) -> DataFrame:
+    """The manifest lines of the same run."""
+    return _kept_and_new(spark, d)[1].select("embedding_id", "text_hash", "status", "run_id", "error").distinct()
+
+
+@query("""WITH c AS (SELECT run_id, count(*) FILTER (embedding_type = 'paper' AND status = 'success') AS paper_success, count(*) FILTER (embedding_type = 'paper' AND status = 'skipped_existing') AS paper_skipped,
+  count(*) FILTER (embedding_type = 'paper' AND status = 'failed') AS paper_failed, count(*) FILTER (embedding_type = 'facet' AND status = 'success') AS facet_success, count(*) FILTER (embedding_type = 'facet' AND status = 'skipped_existing') AS facet_skipped,
+  count(*) FILTER (embedding_type = 'facet' AND status = 'skipped_empty') AS facet_empty, count(*) FILTER (embedding_type = 'facet' AND status = 'failed') AS facet_failed, max(model) AS embedding_model, count(DISTINCT paper_id) AS papers FROM (SELECT DISTINCT * FROM manifest) GROUP BY 1)
+SELECT *, 0 AS verification_errors, paper_failed + facet_failed AS total_failures, paper_success + paper_skipped + facet_success + facet_skipped AS units_created, CASE WHEN paper_failed + facet_failed > 0 THEN 1 ELSE 0 END AS exit_code FROM c""")
+def run_totals(spark: SparkSession, d: str) -> DataFrame:
+    return embed.run_totals(table(spark, d, "manifest").distinct())
+
+
+_SPANS = " UNION ALL ".join(f"SELECT paper_id, '{f}' AS facet, unnest(response.{f}.source_span) AS s, unnest(range(1, len(response.{f}.source_span) + 1)) AS span_no FROM r" for f in contract.FIELDS)
+_SQUEEZE = lambda x: rf"regexp_replace({x}, '[{text.SPACES}]+', ' ', 'g')"
+
+
+@query(f"""WITH {_LATEST}, sp AS ({_SPANS}), q AS (SELECT paper_id, facet, CAST(span_no AS INTEGER) AS span_no, CAST(s.page AS INTEGER) AS page, s.text AS span, nullif({_SQUEEZE(f"regexp_replace(s.text, {_EDGES})")}, '') AS t FROM sp),
+pg AS (SELECT DISTINCT paper_id, page_number, {_SQUEEZE('clean_text')} AS c FROM page_content WHERE paper_id IS NOT NULL AND page_number IS NOT NULL)
+SELECT paper_id, facet, span_no, page, span, CASE WHEN t IS NOT NULL THEN EXISTS (SELECT 1 FROM pg WHERE pg.paper_id = q.paper_id AND (q.page IS NULL OR q.page = pg.page_number) AND contains(pg.c, q.t)) END AS grounded FROM q""")
+def span_grounded(spark: SparkSession, d: str) -> DataFrame:
+    return ingest.grounded_spans(embed.latest_success(table(spark, d, "results")), one_per_page(table(spark, d, "page_content"), "clean_text"), contract.FIELDS)
+
+
 @query(_UNITS + f"""SELECT 'run' AS run_id, embedding_id, paper_id, embedding_type, schema_version, '{MODEL}' AS model, text_hash, 'success' AS status, CASE embedding_type WHEN 'paper' THEN 'paper_embeddings' ELSE 'facet_embeddings' END AS chroma_collection, facet, NULL::VARCHAR AS error FROM u""")
 def manifest(spark: SparkSession, d: str) -> DataFrame:
     return embed.manifest(_units(spark, d), F.lit("success"), "run", MODEL)
@@ -336,7 +452,7 @@ def manifest(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_UNITS + f""", s AS (SELECT DISTINCT id, len(embedding) AS dims, document, metadata FROM stored_vectors),
 b AS (SELECT u.*, s.id, coalesce(s.dims, 0) AS dims, s.document, s.metadata AS m FROM u LEFT JOIN s ON s.id = u.embedding_id),
-e AS (SELECT arg_min(dims, embedding_id) AS ex FROM b WHERE dims > 0),
+e AS (SELECT arg_min(dims, struct_pack(f := embedding_type <> 'paper', i := embedding_id)) AS ex FROM b WHERE dims > 0),
 c AS (SELECT embedding_id, unnest(CASE WHEN id IS NULL THEN ['missing from the store'] ELSE [CASE WHEN document IS DISTINCT FROM text THEN 'stored document differs' END, CASE WHEN m.text_hash IS DISTINCT FROM text_hash THEN 'text_hash mismatch' END,
   CASE WHEN m.embedding_model IS DISTINCT FROM '{MODEL}' THEN 'embedding model mismatch' END, CASE WHEN m.schema_version IS DISTINCT FROM schema_version THEN 'schema version mismatch' END, CASE WHEN m.paper_id IS DISTINCT FROM paper_id THEN 'paper_id mismatch' END,
   CASE WHEN m.embedding_type IS DISTINCT FROM embedding_type THEN 'embedding type mismatch' END, CASE WHEN facet IS NOT NULL AND m.facet IS DISTINCT FROM facet THEN 'facet mismatch' END, CASE WHEN dims <= 0 THEN 'embedding vector is empty' END,

@@ -1,7 +1,9 @@
-"""Sources: paper lists, result lines, title maps, artifact folders, PDF and picture files."""
+"""Sources: prompts, paper lists, result lines, title maps, artifact folders, PDF and picture files."""
 
 from __future__ import annotations
 
+import ast
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,3 +61,26 @@ def encoded_image(path: Column, content: Column) -> Column:
     ending = F.lower(F.regexp_extract(path, r"\.([^.]+)$", 1))
     mime = F.when(ending.isin("jpg", "jpeg"), "image/jpeg").when(ending == "webp", "image/webp").otherwise("image/png")
     return F.struct(mime.alias("mime"), F.base64(content).alias("data"))
+
+
+def file_hash(content: Column) -> Column:
+    """SHA-256 of a file's bytes, as in ``spark.read.format("binaryFile")``."""
+    return F.sha2(content, 256)
+
+
+def load_prompt(source: str, name: str = "EXTRACTION_SYSTEM_PROMPT") -> str:
+    """The text that a prompt module (its source) gives ``name``, without white space around it.
+
+    The module is read, not run: the value must be a literal. A missing, blank or other value is an error.
+    """
+    value = None
+    for node in ast.parse(source).body:
+        targets = node.targets if isinstance(node, ast.Assign) else [node.target] if isinstance(node, ast.AnnAssign) else []
+        if any(isinstance(t, ast.Name) and t.id == name for t in targets) and node.value is not None:
+            try:
+                value = ast.literal_eval(node.value)
+            except ValueError:
+                value = None
+    if not isinstance(value, str) or not value.strip():
+        raise ValueError(f"the prompt module must give {name} a text that is not blank")
+    return value.strip()
