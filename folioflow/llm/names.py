@@ -8,8 +8,13 @@ Work is done on distinct names only, and within them on distinct words:
 2. A *trie join* finds all pairs of words within one slip (a letter added, lost, changed, or two
    swapped): words are sharded by one of their segments, which a slip cannot all touch, each shard
    is a trie, and every word runs through the tries of its shards as a Levenshtein automaton.
-3. Sets of words that differ in one such pair are one name, also over several steps; the set with
-   the most papers stands for it. Middle initials must not contradict; a missing one is filled if only one is known.
+3. A word is a slip of another only if it is rarer: words that both occur beside ``ATTESTED`` other names
+   or more, neither more than ``LOPSIDED`` times as often as the other, are two words, and so are two of the known
+   given names. Equal words on equal support are left apart. In words of three and four letters a slip needs
+   support besides: ``SHORT_LOPSIDED`` times as many papers for the right name.
+   Of the names that differ from a name in one word and are better supported, it joins the best one, for
+   each of its words; so a rare slip never links two well-known names. The set with the most papers
+   stands for all. Middle initials must not contradict; a missing one is filled if only one is known.
 4. A surname with an initial belongs to the only full name that fits; if several fit, to none.
 
 Names are linked by keys, never compared pair by pair; a pair is made only of names already known
@@ -22,7 +27,6 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,11 +36,15 @@ from folioflow.session import cut, remove, rewrite
 
 #: Slips per word, the shortest word that may have one, and the trie words of a shard before it is split.
 DISTANCE, SHORTEST, SHARD = 1, 5, 5000
+ATTESTED, LOPSIDED, SHORT_LOPSIDED, SALTS = 3, 5, 5, 16
 
 # Words before or after a name that are no part of it.
 TITLES = {"dr", "prof", "professor", "mr", "mrs", "ms", "miss", "sir", "dame", "phd", "md", "msc", "bsc", "jr", "sr", "ing"}
 # Words of an organisation's name that come and go.
 FILLERS = {"the", "of", "for", "and", "at", "in", "de", "team", "group"}
+# Words that only organisations have in their names, and words that belong to the surname after them.
+ORGANISATIONS = {"the", "of", "for", "and", "at", "in", "team", "group", "university", "institute", "laboratory", "lab", "laboratories", "department", "centre", "center", "college", "school", "academy", "association", "society", "consortium", "foundation", "company", "corporation", "inc", "ltd", "research"}
+PARTICLES = {"van", "von", "der", "den", "de", "del", "della", "di", "da", "dos", "du", "la", "le", "el", "al", "bin", "ibn", "ter", "ten"}
 
 
 def plain(word: str) -> str:
@@ -72,6 +80,30 @@ def parse(name: str) -> tuple[list[str], list[str], list[str]]:
     return full + late, short, initials
 
 
+def parse_kind(name: str) -> tuple[bool, list[str], list[str], list[str]]:
+    """(whether an organisation, full words, abbreviated words, initials).
+
+    A person has at most three words after particles have joined their surname, none of them a word
+    of organisations. Of three the one in the middle counts as a middle initial, written out.
+    """
+    full, short, initials = parse(name)
+    if ORGANISATIONS & {*full, *short}:
+        return True, full, short, initials
+    joined: list[str] = []
+    for w in full:
+        if joined and joined[-1] in PARTICLES:
+            joined[-1] += w
+        elif len(joined) > 1 and joined[-2] in PARTICLES:
+            joined[-2:] = ["".join(joined[-2:]), w]
+        else:
+            joined.append(w)
+    if len(joined) + len(short) > 3:
+        return True, full, short, initials
+    if len(joined) == 3:
+        joined, initials = [joined[0], joined[2]], [joined[1][0], *initials]
+    return False, joined, short, initials
+
+
 class _Trie:
     def __init__(self, words: list[str]):
         self.root: dict = {}
@@ -81,6 +113,19 @@ class _Trie:
                 node = node.setdefault(c, {})
             node[""] = w
 
+    def longer(self, short: str) -> list[str]:
+        """Longer words that begin with the first two letters of ``short`` and have its letters in order."""
+        out, stack = [], [(self.root, 0, 0)]
+        while stack:
+            node, depth, seen = stack.pop()
+            for c, child in node.items():
+                if c == "":
+                    if seen == len(short) and depth > len(short):
+                        out.append(child)
+                elif depth >= 2 or (depth < len(short) and short[depth] == c):
+                    stack.append((child, depth + 1, seen + (seen < len(short) and short[seen] == c)))
+        return out
+
     def near(self, word: str, most: int) -> list[tuple[str, int]]:
         """Words within ``most`` edits; swapping two neighbours is one edit.
 
@@ -131,7 +176,7 @@ def _shards(most: int):
     return rows
 
 
-def _search(most: int):
+def _search(find):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sorted (shard, salt, role, word) -> (word, near): trie words come before queries."""
         key, held, trie = None, [], None
@@ -144,21 +189,19 @@ def _search(most: int):
                     held.append(w)
                 elif held:
                     trie = trie or _Trie(held)
-                    for other, d in trie.near(w, most):
-                        if d:
-                            word.append(w), near.append(other)
+                    for other in find(trie, w):
+                        word.append(w), near.append(other)
             yield pa.RecordBatch.from_arrays([pa.array(word, pa.string()), pa.array(near, pa.string())], names=["word", "near"])
 
     return search
 
 
-def near_words(words: DataFrame, most: int = DISTANCE, shard_words: int = SHARD) -> DataFrame:
-    """(word) -> (word, near): all pairs of different words within ``most`` edits, in both directions.
+def _sharded(rows: DataFrame, shard_words: int) -> DataFrame:
+    """Rows (shard, role, word, ...) by shard, trie words (role 0) before queries (role 1).
 
     A shard with more than ``shard_words`` trie words is split into several tries, and its queries
     go to each of them.
     """
-    rows = words.select("word").distinct().mapInArrow(_shards(most), "shard string, role int, word string")
     big = cut(rows.where("role = 0").groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > shard_words).select("shard", F.ceil(F.col("n") / shard_words).cast("int").alias("salts")))
     if big.isEmpty():
         salted = rows.withColumn("salt", F.lit(0))
@@ -166,30 +209,66 @@ def near_words(words: DataFrame, most: int = DISTANCE, shard_words: int = SHARD)
         many = rows.join(big, "shard", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
         own = F.array(F.pmod(F.xxhash64("word"), F.col("salts")).cast("int"))
         salted = many.withColumn("salt", F.explode(F.when(F.col("role") == 0, own).otherwise(F.sequence(F.lit(0), F.col("salts") - 1))))
-    salted = salted.select("shard", "salt", "role", "word").repartition("shard", "salt").sortWithinPartitions("shard", "salt", "role", "word")
-    return salted.mapInArrow(_search(most), "word string, near string").distinct()
+    return salted.select("shard", "salt", "role", "word").repartition("shard", "salt").sortWithinPartitions("shard", "salt", "role", "word")
+
+
+def near_words(words: DataFrame, most: int = DISTANCE, shard_words: int = SHARD) -> DataFrame:
+    """(word) -> (word, near): all pairs of different words within ``most`` edits, in both directions."""
+    rows = words.select("word").distinct().mapInArrow(_shards(most), "shard string, role int, word string")
+    return _sharded(rows, shard_words).mapInArrow(_search(lambda trie, w: [o for o, d in trie.near(w, most) if d]), "word string, near string").distinct()
 
 
-_PARSED = "name string, full array<string>, short array<string>, initials array<string>"
+_PARSED = "name string, org boolean, full array<string>, short array<string>, initials array<string>"
 
 
 def _parse_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         names = b.column(0).to_pylist()
-        cols = list(zip(*map(parse, names))) or [[], [], []]
+        cols = list(zip(*map(parse_kind, names))) or [[], [], [], []]
         kind = pa.list_(pa.string())
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array(c, kind) for c in cols)], names=["name", "full", "short", "initials"])
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array(c, t) for c, t in zip(cols, (pa.bool_(), kind, kind, kind)))], names=["name", "org", "full", "short", "initials"])
 
 
-def _spelled_out(words: DataFrame, known: DataFrame) -> DataFrame:
+def _spelled_out(words: DataFrame, known: DataFrame, shard_words: int = SHARD) -> DataFrame:
     """(short) -> (short, long): the most frequent known word that begins alike and has its letters in order."""
-    def fits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for df in batches:
-            ok = [len(w) > len(s) and all(c in it for c in s) for s, w, it in ((s, w, iter(w)) for s, w in zip(df.short, df.word))]
-            yield df[pd.Series(ok, index=df.index, dtype=bool)]
+    shard = F.substring("word", 1, 2).alias("shard")
+    rows = known.select(shard, F.lit(0).alias("role"), "word").unionByName(words.select(F.col("short").alias("word")).distinct().select(shard, F.lit(1).alias("role"), "word"))
+    pair = _sharded(rows, shard_words).mapInArrow(_search(lambda trie, w: trie.longer(w)), "word string, near string")
+    return pair.join(known.select(F.col("word").alias("near"), "n"), "near").groupBy(F.col("word").alias("short")).agg(F.max(F.struct("n", F.col("near").alias("word"))).alias("m")).select("short", F.col("m.word").alias("long"))
 
-    pair = words.select("short", F.substring("short", 1, 2).alias("begin")).distinct().join(known.select("word", "n", F.substring("word", 1, 2).alias("begin")), "begin").select("short", "word", "n")
-    return pair.mapInPandas(fits, pair.schema).groupBy("short").agg(F.max(F.struct("n", "word")).alias("m")).select("short", F.col("m.word").alias("long"))
+
+def _begun(words: DataFrame, known: DataFrame) -> DataFrame:
+    """(short) -> (short, long): the most frequent longer known word that begins with it; words of three to five letters."""
+    begins = known.select(F.explode(F.transform(F.sequence(F.lit(3), F.lit(5)), lambda n: F.when(n < F.length("word"), F.substring(F.col("word"), F.lit(1), n)))).alias("short"), "n", "word").where("short is not null")
+    best = begins.groupBy("short").agg(F.max(F.struct("n", "word")).alias("m")).select("short", F.col("m.word").alias("long"))
+    return words.select("short").distinct().join(best, "short")
+
+
+def slip_edges(bags: DataFrame, known: DataFrame) -> DataFrame:
+    """(bag, words, n) -> undirected (bag, to), both ways: each name and the best supported ones that it is a slip of.
+
+    ``known`` has (word): given names that are words of their own whatever their support.
+    """
+    each = bags.where(F.size("words") > 1).select("bag", "n", F.posexplode("words").alias("at", "word"), "words").where(F.length("word") >= 3)
+    open_at = cut(each.select("bag", "n", "word", F.array_join(F.filter("words", lambda w, i: i != F.col("at")), " ").alias("rest")))
+    borne = open_at.groupBy("word").agg(F.count("*").alias("bearers")).join(known.select("word", F.lit(True).alias("known")), "word", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    other = borne.select(F.col("word").alias("near"), F.col("bearers").alias("near_bearers"), F.col("known").alias("near_known"))
+    low, high = F.least("bearers", "near_bearers"), F.greatest("bearers", "near_bearers")
+    two = (F.col("known") & F.col("near_known")) | ((low >= ATTESTED) & (LOPSIDED * low >= high))
+    near = near_words(open_at.select("word")).join(borne, "word").join(other, "near").where(~two)
+    # Salted: one surname may have a third of all names.
+    near = near.select("word", "near", "bearers", "near_bearers", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    mine = open_at.withColumn("salt", F.pmod(F.xxhash64("rest"), F.lit(SALTS)).cast("int")).join(near, ["word", "salt"])
+    there = open_at.select(F.col("bag").alias("to"), F.col("n").alias("to_n"), F.col("word").alias("near"), "rest")
+    both = mine.join(there, ["near", "rest"])
+    short = (F.length("word") < SHORTEST) & (F.length("near") < SHORTEST)
+    few, many = F.least("n", "to_n"), F.greatest("n", "to_n")
+    told_apart = (F.col("bearers") != F.col("near_bearers")) | (F.col("n") != F.col("to_n"))
+    found = cut(both.where(F.when(short, many >= SHORT_LOPSIDED * few).otherwise(told_apart)).select("bag", "n", "rest", "to", "to_n", "bearers", "near_bearers"))
+    # The better supported one of a pair is the parent; support is papers, then how common the word is.
+    up = found.where(F.struct("to_n", "near_bearers", "to") > F.struct("n", "bearers", "bag"))
+    best = up.groupBy("bag", "rest").agg(F.max(F.struct("to_n", "near_bearers", "to")).alias("m")).select("bag", F.col("m.to").alias("to"))
+    return best.unionByName(best.select(F.col("to").alias("bag"), F.col("bag").alias("to"))).distinct()
 
 
 def _components(edges: DataFrame) -> DataFrame:
@@ -217,17 +296,16 @@ def entities(papers: DataFrame, name_forms: DataFrame) -> DataFrame:
     """(name, entity, papers): spellings with the same entity name the same person or organisation."""
     listed = papers.select("paper_id", F.explode("authors").alias("name")).where("name is not null").groupBy("name").agg(F.count_distinct("paper_id").alias("papers"))
     parsed = cut(listed.select("name").mapInArrow(_parse_all, _PARSED).join(listed, "name").where(F.size("full") + F.size("short") > 0))
-    # Words of three or more make an organisation's name, fewer a person's.
-    is_org = F.size("full") + F.size("short") >= 3
+    is_org = F.col("org")
     words = parsed.select(is_org.alias("org"), F.explode("full").alias("word"), "papers").groupBy("org", "word").agg(F.sum("papers").alias("n"))
 
     # Organisations: abbreviations written out, fillers dropped.
     orgs = parsed.where(is_org)
     org_words = words.where("org").select("word", "n")
     dotted = orgs.select(F.explode("short").alias("short"))
-    # A word without a stop is an abbreviation if a more frequent word begins with it.
+    # A word without a stop is an abbreviation if a longer word begins with it.
     clipped = org_words.where("length(word) between 3 and 5").select(F.col("word").alias("short"))
-    longer = cut(_spelled_out(dotted, org_words).unionByName(_spelled_out(clipped, org_words).where(F.startswith(F.col("long"), F.col("short")))).groupBy("short").agg(F.max("long").alias("long")))
+    longer = cut(_spelled_out(dotted, org_words).unionByName(_begun(clipped, org_words)).groupBy("short").agg(F.max("long").alias("long")))
     org_each = orgs.select("name", "papers", F.explode(F.concat("full", "short")).alias("word")).where(~F.col("word").isin(*FILLERS))
     org_bags = org_each.join(longer, F.col("word") == F.col("short"), "left").groupBy("name", "papers").agg(F.array_sort(F.collect_set(F.coalesce("long", "word"))).alias("words"))
     org_bags = org_bags.select("name", "papers", "words", F.lit("").alias("middle"))
@@ -252,11 +330,8 @@ def entities(papers: DataFrame, name_forms: DataFrame) -> DataFrame:
     named = cut(org_bags.unionByName(full_names).unionByName(lone).where(F.size("words") > 0).withColumn("bag", bag))
     bags = named.groupBy("bag", "words").agg(F.sum("papers").alias("n"))
     # Bags that agree in all words but one, and there by a slip.
-    open_at = bags.where(F.size("words") > 1).select("bag", F.posexplode("words").alias("at", "word"), "words").where(F.length("word") >= SHORTEST - 1)
-    open_at = cut(open_at.select("bag", "word", F.array_join(F.filter("words", lambda w, i: i != F.col("at")), " ").alias("rest")))
-    near = near_words(open_at.select("word")).where((F.length("word") >= SHORTEST) | (F.length("near") >= SHORTEST))
-    other = open_at.select(F.col("bag").alias("to"), F.col("word").alias("near"), "rest")
-    slips = cut(open_at.join(near, "word").join(other, ["near", "rest"]).select("bag", "to").distinct())
+    given = forms.select(F.explode(F.array("nick", "formal")).alias("word")).distinct()
+    slips = cut(slip_edges(bags, given))
     # Of the bags that slips connect the best known one is the name.
     linked = cut(_components(slips).join(bags.select("bag", "n"), "bag"))
     best = linked.groupBy("root").agg(F.max_by("bag", F.struct("n", "bag")).alias("to"))

@@ -59,6 +59,49 @@ def test_other_people_stay_apart(spark):
     assert pairs(spark, ["Ann Li", "Anna Li", "Ana Li"]) == set()  # too short for a slip
 
 
+def test_well_known_names_are_not_slips_of_each_other(spark):
+    """Mario and Marta are one letter from Maria, two from each other, and Marja is a slip of one of them."""
+    others = [f"{g} {x}kovadin" for g in ("Maria", "Mario", "Marta") for x in ("Tele", "Rafi", "Sumo", "Gade")]
+    names = others * 2 + ["Maria Silva"] * 6 + ["Mario Silva"] * 3 + ["Marta Silva"] * 2 + ["Maira Silva"]
+    assert pairs(spark, names) == {frozenset(("Maria Silva", "Maira Silva"))}
+    assert pairs(spark, ["Maria Silva", "Mario Silva", "Marta Silva"]) == set()  # nothing says which is which
+    forms = [("Maria", "Mia"), ("Mario", "Marek")]
+    assert pairs(spark, ["Maria Silva"] * 9 + ["Mario Silva"], forms) == set()  # known as two names
+
+
+def test_slips_in_short_words_need_support(spark):
+    assert pairs(spark, ["Chen Wei"] * 8 + ["Chne Wei"]) == {frozenset(("Chen Wei", "Chne Wei"))}
+    assert pairs(spark, ["Chen Wei"] * 3 + ["Chne Wei"] * 2) == set()
+    assert pairs(spark, ["Anna Li"] * 9 + ["Anna Lo"]) == set()  # two letters are never a slip
+
+
+def test_persons_of_three_names(spark):
+    one = ["Anna Maria Kamadapir", "Anna M. Kamadapir", "Kamadapir, Anna Maria", "A. M. Kamadapir", "Anna Kamadapir"]
+    assert pairs(spark, one) == {frozenset((a, b)) for a in one for b in one if a != b}
+    assert pairs(spark, ["Anna Maria Kamadapir", "Anna Berta Kamadapir"]) == set()
+    assert pairs(spark, ["Jan van der Kamadapir", "J. van der Kamadapir", "Berta van der Kamadapir"]) == {frozenset(("Jan van der Kamadapir", "J. van der Kamadapir"))}
+    assert N.parse_kind("Kamadapir Institute")[0] and not N.parse_kind("Anna Maria Kamadapir")[0]
+
+
+def test_planted_slips(spark):
+    """Recall and precision over names of a closed list of given names with one slip each."""
+    rng = random.Random(11)
+    word = lambda k: "".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(k))
+    given = list({word(3).title() for _ in range(25)})
+    people = list({f"{rng.choice(given)} {word(4).title()}" for _ in range(300)})
+    names, true = [], set()
+    for p in people:
+        names += [p] * rng.randrange(2, 5)
+        if rng.random() < 0.4:
+            i = rng.randrange(1, len(p) - 1)
+            q = p[:i] + p[i + 1] + p[i] + p[i + 2 :]
+            if " " not in p[i : i + 2] and q != p:
+                names.append(q)
+                true.add(frozenset((p, q)))
+    got = pairs(spark, names)
+    assert len(got & true) >= 0.95 * len(true) > 50 and len(got & true) >= 0.95 * len(got)
+
+
 def test_a_short_form_of_several_names_takes_the_known_one(spark):
     assert pairs(spark, ["Alex Kamadapir", "Alexandra Kamadapir", "Alexander Lomeseval"]) == {frozenset(("Alex Kamadapir", "Alexandra Kamadapir"))}
 
