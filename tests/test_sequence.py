@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from folioflow.operators.sequence import carry_forward, dense_sequence, prefix_sums
 
 
@@ -27,7 +29,9 @@ def test_empty_table(spark):
     assert prefix_sums(spark.createDataFrame([], "x int, g string"), ["x"], "x", "s", group="g").collect() == []
 
 
-def test_carry_forward_against_a_loop(spark):
+@pytest.mark.parametrize("rows_a_batch", ["10000", "3"])
+def test_carry_forward_against_a_loop(spark, rows_a_batch):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_a_batch)
     rng = random.Random(6)
     groups = ["hot"] * 400 + ["a", "b", "c"] * 20
     rows = [(g, i, rng.choice([None, None, None, f"v{i}"]) if g != "b" else None) for i, g in enumerate(groups)]
@@ -40,3 +44,4 @@ def test_carry_forward_against_a_loop(spark):
         last[g] = last.get(g) if v is None else v
     assert len(got) == len(rows)
     assert carry_forward(df.limit(0), "g", "k", "v", "before").count() == 0
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
