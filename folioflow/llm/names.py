@@ -10,7 +10,7 @@ Work is done on distinct names only, and within them on distinct words:
    is a trie, and every word runs through the tries of its shards as a Levenshtein automaton.
 3. A word is a slip of another only if it is rarer: words that both occur beside ``ATTESTED`` other names
    or more, neither more than ``LOPSIDED`` times as often as the other, are two words, and so are two of the known
-   given names. Equal words on equal support are left apart. In words of three and four letters a slip needs
+   given names; that holds for persons, where only one other word agrees. Equal words on equal support are left apart. In words of three and four letters a slip needs
    support besides: ``SHORT_LOPSIDED`` times as many papers for the right name.
    Of the names that differ from a name in one word and are better supported, it joins the best one, for
    each of its words; so a rare slip never links two well-known names. The set with the most papers
@@ -36,7 +36,7 @@ from folioflow.session import cut, remove, rewrite
 
 #: Slips per word, the shortest word that may have one, and the trie words of a shard before it is split.
 DISTANCE, SHORTEST, SHARD = 1, 5, 5000
-ATTESTED, LOPSIDED, SHORT_LOPSIDED, SALTS = 3, 5, 5, 16
+ATTESTED, LOPSIDED, SHORT_LOPSIDED, SALTS = 3, 20, 5, 16
 
 # Words before or after a name that are no part of it.
 TITLES = {"dr", "prof", "professor", "mr", "mrs", "ms", "miss", "sir", "dame", "phd", "md", "msc", "bsc", "jr", "sr", "ing"}
@@ -89,14 +89,14 @@ def parse_kind(name: str) -> tuple[bool, list[str], list[str], list[str]]:
     full, short, initials = parse(name)
     if ORGANISATIONS & {*full, *short}:
         return True, full, short, initials
-    joined: list[str] = []
-    for w in full:
-        if joined and joined[-1] in PARTICLES:
-            joined[-1] += w
-        elif len(joined) > 1 and joined[-2] in PARTICLES:
-            joined[-2:] = ["".join(joined[-2:]), w]
+    joined, before = [], ""
+    for i, w in enumerate(full):
+        # A particle goes on in the next word; in the first place it may be a given name.
+        if w in PARTICLES and i + 1 < len(full) and (i or initials):
+            before += w
         else:
-            joined.append(w)
+            joined.append(before + w)
+            before = ""
     if len(joined) + len(short) > 3:
         return True, full, short, initials
     if len(joined) == 3:
@@ -255,10 +255,11 @@ def slip_edges(bags: DataFrame, known: DataFrame) -> DataFrame:
     other = borne.select(F.col("word").alias("near"), F.col("bearers").alias("near_bearers"), F.col("known").alias("near_known"))
     low, high = F.least("bearers", "near_bearers"), F.greatest("bearers", "near_bearers")
     two = (F.col("known") & F.col("near_known")) | ((low >= ATTESTED) & (LOPSIDED * low >= high))
-    near = near_words(open_at.select("word")).join(borne, "word").join(other, "near").where(~two)
+    near = near_words(open_at.select("word")).join(borne, "word").join(other, "near").withColumn("two", two)
     # Salted: one surname may have a third of all names.
-    near = near.select("word", "near", "bearers", "near_bearers", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    mine = open_at.withColumn("salt", F.pmod(F.xxhash64("rest"), F.lit(SALTS)).cast("int")).join(near, ["word", "salt"])
+    near = near.select("word", "near", "bearers", "near_bearers", "two", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    apart = F.col("two") & ~F.col("rest").contains(" ")
+    mine = open_at.withColumn("salt", F.pmod(F.xxhash64("rest"), F.lit(SALTS)).cast("int")).join(near, ["word", "salt"]).where(~apart)
     there = open_at.select(F.col("bag").alias("to"), F.col("n").alias("to_n"), F.col("word").alias("near"), "rest")
     both = mine.join(there, ["near", "rest"])
     short = (F.length("word") < SHORTEST) & (F.length("near") < SHORTEST)
