@@ -10,6 +10,7 @@ Every page is judged by its text, never by its ``text_source``.
   people are frequent nowhere else).
 * A word cut by a mark at a line end is broken if joined it is a known word and more frequent than
   with a hyphen; unknown both ways it is broken.
+* The edge of a page are its ``EDGE`` first and last lines that are not blank, however long they are.
 * Running headers are edge lines whose text without numbers has the skeleton of the beginning of
   the paper's title, or names an author with "et al.", or, digits masked, recurs at the page tops
   of its paper next to a number that moves with the page.
@@ -36,6 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioflow.functions.text import is_heading
 from folioflow.llm.unicode_form import canonical, canonical_form
 from folioflow.session import cut
 
@@ -104,8 +106,8 @@ def _roman(s: str) -> int | None:
 
 def page_number_of(line: str) -> tuple[int, bool, bool] | None:
     """(number, whether marked as a page number, whether Roman) if the line holds one number alone."""
-    s = line.strip()
-    if not s or len(s) > 24 or not (m := _NUMBER.fullmatch(s)):
+    s = " ".join(line.split())
+    if not s or not (m := _NUMBER.fullmatch(s)):
         return None
     body, marked = m[1].lower(), bool(_DECORATED.search(s))
     if (n := _roman(body)) and not any(map(str.isdigit, body)):
@@ -115,15 +117,18 @@ def page_number_of(line: str) -> tuple[int, bool, bool] | None:
 
 
 _PART = r"(?:(?:page|pagc|p\.)\s*[0-9lo!]{1,5}|[-–—]\s*[0-9lo!]{1,5}\s*[-–—]|[0-9]{1,5}\s*/\s*[0-9]{1,5}|[0-9]{1,5}|[ivxlcdm]{1,9})"
+_REACH = 64
 _LEAD, _TAIL = re.compile(rf"^{_PART}\s{{2,}}", re.I), re.compile(rf"\s{{2,}}{_PART}$", re.I)
 
 
 def header_core(line: str) -> tuple[str, str]:
     """A line without a page number at either end, and that number's text."""
     s = line.strip()
-    for pattern in (_LEAD, _TAIL):
-        if m := pattern.search(s):
-            return pattern.sub("", s).strip(), m[0].strip()
+    # A number with its marks and the gap beside it lie within so many characters of an end.
+    if m := _LEAD.search(s[:_REACH]):
+        return s[m.end() :].strip(), m[0].strip()
+    if m := _TAIL.search(s[-_REACH:]):
+        return s[: len(s) - (len(m[0]))].strip(), m[0].strip()
     return s, ""
 
 
@@ -174,7 +179,7 @@ def _page_rows(frequent: set[str]):
                     filled = [i for i, x in enumerate(each) if x.strip()]
                     for rank, i in enumerate(filled):
                         if rank < EDGE or rank >= len(filled) - EDGE:
-                            line = each[i] if len(each[i]) <= 200 else ""
+                            line = each[i]
                             number = page_number_of(canonical(line))
                             if number:
                                 out.append((paper[p], page[p], f"{kind}n", i + 1, str(number[0]), "marked" if number[1] else "roman" if number[2] else "", "edge" if rank == 0 or rank == len(filled) - 1 else ""))
@@ -306,7 +311,7 @@ def repaired_pages(pages: DataFrame, papers: DataFrame) -> DataFrame:
     broken = noise.broken_words().groupBy(*page).agg(F.collect_set("line_no").alias("broken"))
     fixes = noise.misread_words().groupBy(*page).agg(F.collect_set(F.struct("line_no", "word", "right")).alias("fixes"))
     # One shuffle of the texts, by page; all windows and the aggregation below use its partitions.
-    one = noise.pages.select(*page, "clean_text").dropDuplicates(page).join(dropped, page, "left").join(broken, page, "left").join(fixes, page, "left")
+    one = noise.pages.groupBy(*page).agg(F.max("clean_text").alias("clean_text")).join(dropped, page, "left").join(broken, page, "left").join(fixes, page, "left")
     none = F.array().cast("array<int>")
     text = _fixed(F.coalesce("clean_text", F.lit("")), F.col("fixes"))
     lines = one.select(*page, F.col("clean_text").isNull().alias("null"), F.coalesce("dropped", none).alias("dropped"), F.coalesce("broken", none).alias("broken"), F.posexplode(F.split(text, "\n", -1)).alias("at", "line"))
@@ -315,7 +320,7 @@ def repaired_pages(pages: DataFrame, papers: DataFrame) -> DataFrame:
     kept = marked.withColumn("line", F.when(F.col("drop"), None).when(F.col("cut"), F.regexp_replace("line", rf"[{_MARKS}]\s*$", "")).otherwise(F.col("line")))
     past = w.rowsBetween(Window.unboundedPreceding, -1)
     before, was_cut = F.last("line", ignorenulls=True).over(past), F.last(F.when(~F.col("drop"), F.col("cut")), ignorenulls=True).over(past)
-    heading = F.coalesce(F.col("line").rlike(r"^(?:[0-9]+(?:\.[0-9]+)*\s+\p{Lu}|Abstract$|References$|Discussion$)") & (F.length("line") < 60), F.lit(False))
+    heading = F.coalesce(is_heading(F.col("line")), F.lit(False))
     seen = kept.withColumn("heading", heading).withColumn("before", before).withColumn("was_cut", was_cut).withColumn("width", F.max(F.length("line")).over(Window.partitionBy(*page)))
     after_heading = F.last(F.when(~F.col("drop"), F.col("heading")), ignorenulls=True).over(past)
     starts = F.col("before").isNull() | (F.col("before") == "") | F.col("heading") | after_heading | (F.col("before").rlike(r"[.!?]$") & (F.length("before") < 0.6 * F.col("width")))

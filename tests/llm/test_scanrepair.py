@@ -21,6 +21,13 @@ def test_page_numbers_as_written(line, want):
     assert S.page_number_of(line) == want
 
 
+def test_long_lines_are_lines_like_others():
+    long = "word " * 2000
+    assert S.header_core(f"17    {long}") == (long.strip(), "17") and S.header_core(f"{long}    Page 17") == (long.strip(), "Page 17")
+    assert S.header_core(" " * 100_000 + "a" + " " * 100_000 + "b")[1] == ""
+    assert S.page_number_of("-" + " " * 500 + "12" + " " * 500 + "-") == (12, True, False) and S.page_number_of(long) is None
+
+
 def corpus(spark, noisy, title="Lexical Baseline for Recipe Blogs: The Fodo Experiment"):
     rows = [H.page(f"bg{i}", n, BODY * 3) for i in range(30) for n in (1, 2)]
     papers = [H.paper(f"bg{i}", "Something Else") for i in range(30)] + [H.paper("scan", title)]
