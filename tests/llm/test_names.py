@@ -87,8 +87,8 @@ def test_planted_slips(spark):
     """Recall and precision over names of a closed list of given names with one slip each."""
     rng = random.Random(11)
     word = lambda k: "".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(k))
-    given = list({word(3).title() for _ in range(25)})
-    people = list({f"{rng.choice(given)} {word(4).title()}" for _ in range(300)})
+    given = sorted({word(3).title() for _ in range(25)})
+    people = sorted({f"{rng.choice(given)} {word(4).title()}" for _ in range(300)})
     names, true = [], set()
     for p in people:
         names += [p] * rng.randrange(2, 5)
