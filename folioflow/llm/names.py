@@ -129,26 +129,37 @@ class _Trie:
     def near(self, word: str, most: int) -> list[tuple[str, int]]:
         """Words within ``most`` edits; swapping two neighbours is one edit.
 
-        The state of the automaton after a prefix is the row of distances to all prefixes of
-        ``word``; a branch whose row has nothing within ``most`` is left.
+        The state of the automaton after a prefix is the row of distances to those prefixes of ``word``
+        whose length differs by at most ``most``; a branch whose row has nothing within ``most`` is left.
         """
-        n, out = len(word), []
-        stack = [(self.root, list(range(n + 1)), None, "")]
+        n, out, width, far = len(word), [], 2 * most + 1, most + 1
+        stack = [(self.root, [j if 0 <= j <= n else far for j in range(-most, most + 1)], None, "", 0)]
         while stack:
-            node, row, above, last = stack.pop()
+            node, row, above, last, depth = stack.pop()
             for c, child in node.items():
                 if c == "":
-                    if row[n] <= most:
-                        out.append((child, row[n]))
+                    k = n - depth + most
+                    if 0 <= k < width and row[k] <= most:
+                        out.append((child, row[k]))
                     continue
-                new = [row[0] + 1]
-                for j in range(1, n + 1):
-                    d = min(new[j - 1] + 1, row[j] + 1, row[j - 1] + (word[j - 1] != c))
-                    if above is not None and j > 1 and word[j - 1] == last and word[j - 2] == c:
-                        d = min(d, above[j - 2] + 1)
-                    new.append(d)
+                new: list[int] = []
+                for k in range(width):
+                    j = depth + 1 - most + k
+                    if j < 0 or j > n:
+                        d = far
+                    elif j == 0:
+                        d = depth + 1
+                    else:
+                        d = row[k] + (word[j - 1] != c)
+                        if k:
+                            d = min(d, new[k - 1] + 1)
+                        if k + 1 < width:
+                            d = min(d, row[k + 1] + 1)
+                        if above is not None and j > 1 and word[j - 1] == last and word[j - 2] == c:
+                            d = min(d, above[k] + 1)
+                    new.append(min(d, far))
                 if min(new) <= most:
-                    stack.append((child, new, row, c))
+                    stack.append((child, new, row, c, depth + 1))
         return out
 
 
