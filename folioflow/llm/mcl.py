@@ -1,9 +1,10 @@
 """Clusters of mutually similar vectors by Markov clustering.
 
-1. *Micro-clusters.* Vectors are range-partitioned by (facet, nearest of K fixed directions, id) and
-   every partition joins each vector to a leader with a cosine of at least ``LEADER``. Because the
-   id is part of the range, a group that holds a third of all rows lies over many partitions. As
-   long as that leaves crowded cells, leaders are merged again in the same way.
+1. *Micro-clusters.* Vectors are range-partitioned by (facet, nearest of ``MICRO`` fixed directions,
+   id) and every partition joins each vector to a leader with a cosine of at least ``LEADER``. Because
+   the id is part of the range, a group that holds a third of all rows lies over many partitions, each
+   with leaders of its own. The number of directions is the same for every table and leaders are not
+   joined to leaders, so no unit is farther from its leader in a large table than in a small one.
 2. *Similarity graph.* Each leader goes to its nearest of K directions, ``PROBES`` of them or more;
    leaders that meet in a cell are compared in matrix blocks, and cosines of at least ``LINK`` are
    edges. K follows the number of leaders, and the probes follow K (``_probes_for``), because pairs
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from folioflow.session import cut, remove, rewrite
 
-DIMENSIONS, LINK, LEADER, PROBES, PER_CELL, CELL = 64, 0.8, 0.9, 5, 128, 4096
+DIMENSIONS, LINK, LEADER, MICRO, PROBES, PER_CELL, CELL = 64, 0.8, 0.9, 256, 5, 128, 4096
 INFLATION, PRUNE, STILL, ROUNDS = 2.0, 1e-3, 0.02, 30
 _SEED, _SCALE = 20240229, 32767.0
 
@@ -215,27 +216,15 @@ def vectors(store: DataFrame, dims: int = DIMENSIONS) -> DataFrame:
 
 
 def micro_clusters(rows: DataFrame, dims: int = DIMENSIONS, leader: float = LEADER) -> tuple[DataFrame, DataFrame]:
-    """(members (facet, id, leader, sim), leaders (facet, leader, q))."""
-    most = rows.groupBy("facet").count().agg(F.max("count")).first()[0] or 0
-    k = _cells_for(most)
-    placed = rows.mapInArrow(_place(k, dims), "facet string, cell int, id string, q binary")
+    """(members (facet, id, leader, sim), leaders (facet, leader, q)).
+
+    The same for few and for many rows: every unit has a cosine of at least ``leader`` to its leader.
+    """
+    placed = rows.mapInArrow(_place(MICRO, dims), "facet string, cell int, id string, q binary")
     schema = "facet string, id string, leader string, sim float, q binary"
     order = ["facet", "cell", "id"]
-    first = cut(placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_lead(leader, dims), schema))
-    members, leaders = first.select("facet", "id", "leader", "sim"), first.where("q is not null").select("facet", F.col("leader"), "q")
-    while True:
-        cells = leaders.mapInArrow(_probe(k, 1, dims), "facet string, cell int, node string, q binary").select("facet", "cell", F.col("node").alias("id"), "q")
-        crowded = cells.groupBy("facet", "cell").count().agg(F.max("count")).first()[0] or 0
-        if crowded <= CELL:
-            break
-        again = cut(cells.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_lead(leader, dims), schema))
-        merged = again.where("q is not null").select("facet", "leader", "q")
-        if merged.count() > 0.9 * leaders.count():
-            break  # these leaders really differ; the cell is compared in slices
-        moved = again.select(F.col("id").alias("leader"), F.col("leader").alias("now"), F.col("sim").alias("to_now"))
-        members = cut(members.join(moved, "leader").select("facet", "id", F.col("now").alias("leader"), F.least("sim", "to_now").alias("sim")))
-        leaders = merged
-    return members, leaders
+    led = cut(placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_lead(leader, dims), schema))
+    return led.select("facet", "id", "leader", "sim"), led.where("q is not null").select("facet", "leader", "q")
 
 
 def links(nodes: DataFrame, most: int, dims: int = DIMENSIONS, link: float = LINK, probes: int | None = None, cell_rows: int = CELL) -> DataFrame:

@@ -110,6 +110,30 @@ def test_recall_of_thin_groups_at_the_cells_of_a_large_table(spark):
     assert len(got & {(i, i + 800) for i in range(800)}) >= 0.98 * 800
 
 
+def test_no_unit_is_far_from_its_leader_however_crowded_the_cells(spark, monkeypatch):
+    monkeypatch.setattr(mcl, "CELL", 3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = blobs(seed=4, sizes=(1500,), noise=0.3)
+        members, leaders = mcl.micro_clusters(spark.createDataFrame([("+f", i, v) for i, v in rows], "facet string, id string, embedding array<float>").repartition(4, "id"))
+        led, named = members.collect(), {r.leader for r in leaders.collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in rows}
+    assert len(led) == len(rows) and {r.leader for r in led} == named
+    assert min(unit[r.id] @ unit[r.leader] for r in led) >= mcl.LEADER - 1e-3
+
+
+def test_micro_clusters_of_a_facet_do_not_change_with_the_size_of_another(spark):
+    few, many = ([(f, f"{f}{i}", v) for i, v in blobs(seed=s, sizes=(n,), noise=0.45)] for f, s, n in (("+a", 1, 300), ("+b", 2, 9000)))
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        alone, beside = ({(r.id, r.leader) for r in mcl.micro_clusters(spark.createDataFrame(rows, "facet string, id string, embedding array<float>"))[0].where("facet = '+a'").collect()} for rows in (few, few + many))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(alone) == len(few) and alone == beside
+
+
 def test_markov_separates_two_cliques_on_a_bridge(spark):
     clique = [(a, b, 0.95) for c in ((0, 1, 2, 3), (10, 11, 12, 13)) for i, a in enumerate(c) for b in c[i + 1 :]]
     edges = spark.createDataFrame([*clique, (3, 10, 0.81)], "src long, dst long, w double")
