@@ -134,3 +134,59 @@ def test_without_two_classes_there_is_no_score(spark, tables):
         rows = A.scores(docs, l).collect()
         assert len(rows) == 504 and all(r.score is None and r.abusive is None for r in rows)
     assert A.scores(docs.limit(0), labels).count() == 0
+
+
+def test_all_labelled_texts_and_windows_are_learnt_from(spark, monkeypatch):
+    """More texts than the bound of 6,000 that there once was, and a long one."""
+    rng, seen = random.Random(1), []
+    texts = [" ".join(rng.choices(WORDS, k=6)) + (" " + rng.choice(BAD) if i % 100 == 0 else "") for i in range(6400)]
+    texts[1] = " ".join(rng.choices(WORDS, k=A.WINDOW + 20 * A.STRIDE))
+    docs = spark.createDataFrame([(i, t, "en", "a") for i, t in enumerate(texts)], H.DOCUMENTS)
+    labels = spark.createDataFrame([(i, "x", int(i % 100 == 0)) for i in range(6400)], H.LABELS)
+    monkeypatch.setattr(A, "drawn", lambda picked, steps, drawn=A.drawn: seen.append((picked, drawn(picked, steps))) or seen[-1][1])
+    assert A.fit(docs, labels, steps=1)
+    picked, stream = seen[0]
+    off = picked.where("not y").select("h", "at").collect()
+    assert len(off) == len(set(off)) == 6336 - 1 + 21 and len({r.h for r in off}) == 6336
+    fold = {(r.fold, r.y): r["count"] for r in picked.groupBy("fold", "y").count().collect()}
+    read = {(r.net, r.y): (r.n, r.texts) for r in stream.groupBy("net", "y").agg(A.F.count("*").alias("n"), A.F.sum("weight").alias("texts")).collect()}
+    for net in range(A.FOLDS):
+        for y in (False, True):
+            assert read[net, y][0] >= sum(n for (f, c), n in fold.items() if f != net and c == y)
+
+
+def test_word_counts_are_of_all_texts_and_windows_weigh_by_text():
+    pa = A.pa
+    rows = [(1, 0, True, "gronk reads gronk"), (2, 1, False, "reads letters"), (3, 2, False, " ".join(WORDS[i % len(WORDS)] + str(i) for i in range(A.WINDOW + 8 * A.STRIDE))), (4, 0, False, " ")]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.bool_(), pa.string()))], names=["h", "fold", "y", "text"])
+    counts = {w: (on, off) for b in A._count_task(iter([batch])) for w, on, off in zip(*(c.to_pylist() for c in b.columns))}
+    word = lambda w: A.features(w)[0]
+    assert counts[0] == (1, 2) and counts[word("gronk")] == (1, 0) and counts[word("letters")][0] == 0 and counts[word("reads")][0] == 1
+    got = [r for b in A._window_task(A._beyond(*np.ones((2, A.WORDS))), True)(iter([batch])) for r in b.to_pylist()]
+    assert [r["h"] for r in got] == [1, 2, *[3] * 9] and [r["at"] for r in got if r["h"] == 3] == list(range(9))
+    assert sorted(r["weight"] for r in got if r["h"] == 3) == pytest.approx([2 / 7] * 7 + [1, 1])
+    assert got[0]["words"] == "gronk reads gronk" and len(got[-1]["words"].split(" ")) == A.WINDOW
+
+
+def test_a_weight_counts_a_window_so_many_times():
+    vocabulary, net = A.Vocabulary(), A.Network()
+    ids = np.array([w for t in corpus(4)[0] for w in A.cut_windows(vocabulary.add(A.tokens(t)))][:3])
+    y, (word, grams) = np.array([1, 0, 1.0]), vocabulary.arrays()
+    weighed = net.gradients(word, grams, ids, y, weight=np.array([3, 1, 0.0]))
+    again = net.gradients(word, grams, ids[[0, 0, 0, 1]], y[[0, 0, 0, 1]])
+    assert all(np.allclose(weighed[k] * 3, again[k] * 4, atol=1e-6) for k in ("wo", "Wf", "Ub", "va"))
+
+
+def test_texts_beyond_the_former_bound_change_the_model(spark):
+    """A word that the 6,000 negative texts of the smallest hashes lack is harmless where later ones have it."""
+    rng = random.Random(2)
+    order = [r.i for r in spark.range(6900).select(A.F.col("id").alias("i"), A.F.xxhash64(A.F.lit(A.SEED), "id").alias("h")).orderBy("h").collect()]
+    bad, late = set(order[:300]), set(order[6300:])
+    plain = lambda: " ".join(rng.choices(WORDS, k=5))
+    texts = [f"{plain()} you filthy gronk {plain()}" if i in bad else f"{plain()} the gronk corpus {plain()}" if i in late else plain() for i in range(6900)]
+    docs = spark.createDataFrame([(i, t, "en", "a") for i, t in enumerate(texts)], H.DOCUMENTS)
+    labels = spark.createDataFrame([(i, "x", int(i in bad)) for i in range(6900)], H.LABELS)
+    model = A.fit(docs, labels, steps=80)
+    rows = docs.select("doc_id", "text").mapInArrow(A._score_task(model, 1, ["doc_id", "score", "abusive"]), "doc_id long, score double, abusive boolean").collect()
+    assert sum(r.abusive for r in rows if r.doc_id in bad) >= 0.9 * len(bad)
+    assert sum(r.abusive for r in rows if r.doc_id in late) <= 0.1 * len(late)
